@@ -60,36 +60,29 @@ def hits(counts: DataFrame, ranks: Sequence[str], by: Sequence[str] = ()) -> Dat
     """
     by = list(by)
     wanted = [f"_r{i}" for i in range(len(ranks))]
-    anything = f"coalesce({', '.join(wanted)}) IS NOT NULL"
+    firsts = [f"CAST({rank} AS BIGINT)" for rank in ranks]
 
-    def inside(size: str) -> list[str]:
-        # The rank relative to this bucket, null where it lies in another one.
-        return [f"CASE WHEN {r} >= _at AND {r} < _at + {size} THEN {r} - _at END AS {r}" for r in wanted]
+    def narrow(buckets: DataFrame, size: str, places: Sequence[str], keep: Sequence[str]) -> DataFrame:
+        # Rows a rank falls into, with the rank counted from the start of the row. The filter comes
+        # before the projection: a filter over its results makes the optimizer's constraint sets explode.
+        falls = [f"{place} >= _at AND {place} < _at + {size}" for place in places]
+        relative = [f"CASE WHEN {f} THEN {p} - _at END AS {r}" for f, p, r in zip(falls, places, wanted)]
+        return buckets.where(" OR ".join(f"({f})" for f in falls)).selectExpr(*keep, *relative)
 
     everything = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in by)})" if by else "OVER ()"
     coarse = counts.selectExpr("*", _COARSE)
-    first = (
-        coarse.groupBy(*by, "_b")
-        .agg(F.expr("sum(_c) AS _n"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi"))
-        .selectExpr("*", f"sum(_n) {everything} AS _total", f"{_before('_n', by, '_b')} AS _at")
-        .selectExpr("*", *[f"CAST({rank} AS BIGINT) AS {r}" for r, rank in zip(wanted, ranks)])
-        .selectExpr(*by, "_b", "_lo", "_hi", "_total", *inside("_n"))
-        .where(anything)
-    )
+    first = coarse.groupBy(*by, "_b").agg(F.expr("sum(_c) AS _n"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi"))
+    first = first.selectExpr("*", f"sum(_n) {everything} AS _total", f"{_before('_n', by, '_b')} AS _at")
+    first = narrow(first, "_n", firsts, [*by, "_b", "_lo", "_hi", "_total"])
+
     near = match(coarse, first, [*by, "_b"]).selectExpr(*by, "_b", "_v", "_c", "_total", _FINE, *wanted)
-    second = (
-        near.groupBy(*by, "_b", "_f")
-        .agg(F.expr("sum(_c) AS _n"), *[F.expr(f"max({r}) AS {r}") for r in wanted])
-        .selectExpr("*", f"{_before('_n', [*by, '_b'], '_f')} AS _at")
-        .selectExpr(*by, "_b", "_f", *inside("_n"))
-        .where(anything)
-    )
-    return (
-        match(near.drop(*wanted), second, [*by, "_b", "_f"])
-        .selectExpr("*", f"{_before('_c', [*by, '_b', '_f'], '_v')} AS _at")
-        .selectExpr(*by, "_v", "_total", *inside("_c"))
-        .where(anything)
-    )
+    second = near.groupBy(*by, "_b", "_f").agg(F.expr("sum(_c) AS _n"), *[F.expr(f"max({r}) AS {r}") for r in wanted])
+    second = second.selectExpr("*", f"{_before('_n', [*by, '_b'], '_f')} AS _at")
+    second = narrow(second, "_n", wanted, [*by, "_b", "_f"])
+
+    last = match(near.drop(*wanted), second, [*by, "_b", "_f"])
+    last = last.selectExpr("*", f"{_before('_c', [*by, '_b', '_f'], '_v')} AS _at")
+    return narrow(last, "_c", wanted, [*by, "_v", "_total"])
 
 
 def _at_rank(i: int, condition: str = "TRUE") -> str:
