@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions.order_stats import match, medians
 from parcelwise.functions.scalar import haversine_km, holds, pad_zip, strip
+from parcelwise.session import cut_lineage
 
 # Fixed values.
 BOX_LAT = (-34, 6)
@@ -30,8 +31,11 @@ def outside_box() -> Column:
 
 
 def zip_medians(points: DataFrame, lat: str = "zip_median_lat", lng: str = "zip_median_lng") -> DataFrame:
-    """Median latitude and longitude per zip prefix, in one pass over (zip, axis, value)."""
-    return medians(points, {LAT: lat, LNG: lng}, by=[ZIP])
+    """Median latitude and longitude per zip prefix, in one pass over (zip, axis, value).
+
+    One row per zip that several steps join with, so it is written once.
+    """
+    return cut_lineage(medians(points, {LAT: lat, LNG: lng}, by=[ZIP]), "zip-medians")
 
 
 def flag_points(geo: DataFrame) -> DataFrame:
@@ -80,7 +84,8 @@ def most_common(points: DataFrame, key: str, columns: list[str]) -> DataFrame:
 def zip_points(points: DataFrame) -> DataFrame:
     """One row per zip prefix: median point, most common city and state."""
     names = most_common(points, ZIP, [CITY, STATE])
-    return match(names, zip_medians(points, LAT, LNG), [ZIP], "left").select(ZIP, LAT, LNG, CITY, STATE)
+    zips = match(names, zip_medians(points, LAT, LNG), [ZIP], "left").select(ZIP, LAT, LNG, CITY, STATE)
+    return cut_lineage(zips, "zips")
 
 
 def zip_coordinates(geo: DataFrame) -> DataFrame:

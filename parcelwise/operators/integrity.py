@@ -39,12 +39,12 @@ def base_row_change(base: DataFrame, joined: DataFrame) -> DataFrame:
 
 def lost_keys(base: DataFrame, joined: DataFrame, key: str) -> DataFrame:
     """One row: base keys that do not appear in the joined table."""
-    return base.join(joined.select(key), key, "left_anti").agg(F.count_distinct(key).alias("n"))
+    return base.join(joined.select(key).distinct(), key, "left_anti").agg(F.count_distinct(key).alias("n"))
 
 
 def unmatched(base: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """One row: base rows without a partner (a missing key has none)."""
-    return base.join(other.select(key), key, "left_anti").agg(F.count("*").alias("n"))
+    return base.join(other.select(key).distinct(), key, "left_anti").agg(F.count("*").alias("n"))
 
 
 def report(checks: dict[str, DataFrame]) -> DataFrame:

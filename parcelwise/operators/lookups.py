@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.order_stats import match, medians
 from parcelwise.functions.scalar import pad_zip
 from parcelwise.operators.geo import LAT, LNG, ZIP
+from parcelwise.session import cut_lineage
 
 MEASURES = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
 COUNTS = ["product_name_length", "product_description_length", "product_photos_qty"]
@@ -23,7 +24,8 @@ def clean_sellers(sellers: DataFrame) -> DataFrame:
 
 def fill_with_median(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace missing values by the exact median of the column, as a scalar subquery."""
-    one_row = medians(df, {c: c for c in columns}).select(F.struct(*columns)).scalar()
+    found = cut_lineage(medians(df, {c: c for c in columns}), "fill-medians")
+    one_row = found.select(F.struct(*columns)).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), one_row.getField(c)) for c in columns})
 
 

@@ -24,9 +24,9 @@ def _scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _state(nation_key: str) -> Column:
-    codes = F.array(*[F.lit(s) for s in STATE_CODES])
-    return F.element_at(codes, F.col(nation_key) + 1)
+def _state(number: str) -> Column:
+    codes = ", ".join(f"'{code}'" for code in STATE_CODES)
+    return F.expr(f"element_at(array({codes}), CAST({number} AS INT) + 1)")
 
 
 def purchase_time() -> Column:
@@ -141,7 +141,7 @@ def geolocation(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.concat(F.lit("\t"), city, F.lit(" "))).otherwise(city).alias(
             "geolocation_city"
         ),
-        F.element_at(F.array(*[F.lit(s) for s in STATE_CODES]), (F.pmod(zip_no, F.lit(27)) + 1).cast("int")).alias(
+        _state(f"pmod(pmod(l_partkey, {ZIPS}), 27)").alias(
             "geolocation_state"
         ),
     )
