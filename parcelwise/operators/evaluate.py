@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.order_stats import percentiles
 from parcelwise.functions.scalar import floor_at_zero
 from parcelwise.operators.features import TARGET
+from parcelwise.session import cut_lineage
 
 # Fixed values.
 MIN_IMPROVEMENT = 0.05
@@ -33,8 +34,9 @@ def estimate_mae(split: DataFrame) -> DataFrame:
 
 
 def train_median(split: DataFrame) -> Column:
-    """Exact median target of the training rows, as a scalar subquery."""
-    return percentiles(split.where(F.col("split") == "train"), TARGET, {"median": 0.5}).scalar()
+    """Exact median target of the training rows, as a scalar subquery over a written one-row table."""
+    found = percentiles(split.where(F.col("split") == "train"), TARGET, {"median": 0.5})
+    return cut_lineage(found, "train-median").scalar()
 
 
 def median_mae(split: DataFrame) -> DataFrame:

@@ -39,17 +39,19 @@ def time_cuts(
     return cuts
 
 
-def split_label(cuts, ts: str = "order_purchase_timestamp", key: str = "order_id") -> Column:
-    """``train``, ``val`` or ``test`` by the cuts of :func:`time_cuts`."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+def _before(cut, ts: str, key: str) -> Column:
+    """Whether a row comes before the cut row."""
+    if cut is None:
+        return F.lit(True)
+    moment, tie = F.timestamp_micros(F.lit(cut[0])), cut[1]
+    at = F.col(ts).cast("timestamp")
+    return (at < moment) | ((at == moment) & (hash_key(key) < tie))
 
-    def before(cut) -> Column:
-        if cut is None:
-            return F.lit(True)
-        moment, tie = cut
-        return (micros < moment) | ((micros == moment) & (hash_key(key) < tie))
 
-    return F.when(before(cuts[0]), "train").when(before(cuts[1]), "val").otherwise("test")
+def split_label(cuts, ts: str = "order_purchase_timestamp", key: str = "order_id") -> Column:
+    """``train``, ``val`` or ``test`` by the cuts of :func:`time_cuts`."""
+    first, second = (_before(cut, ts, key) for cut in cuts)
+    return F.when(first, "train").when(second, "val").otherwise("test")
 
 
 def time_split(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "order_id") -> DataFrame:
@@ -58,6 +60,27 @@ def time_split(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "
     return known.withColumn("split", split_label(time_cuts(known, ts=ts, key=key), ts, key))
 
 
+def time_parts(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "order_id") -> dict[str, DataFrame]:
+    """The three parts of :func:`time_split` as tables of their own.
+
+    Each one carries plain bounds on the purchase time, which the scan can use to skip row groups.
+    """
+    known = df.where(F.col(ts).isNotNull())
+    cuts = time_cuts(known, ts=ts, key=key)
+    at = F.col(ts).cast("timestamp")
+    label = split_label(cuts, ts, key)
+    edges = {"train": (None, cuts[0]), "val": cuts, "test": (cuts[1], None)}
+    parts = {}
+    for name, (start, stop) in edges.items():
+        part = known
+        if start is not None:
+            part = part.where(at >= F.timestamp_micros(F.lit(start[0])))
+        if stop is not None:
+            part = part.where(at <= F.timestamp_micros(F.lit(stop[0])))
+        parts[name] = part.where(label == name).withColumn("split", F.lit(name))
+    return parts
+
+
 def group_split(df: DataFrame, group: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``split`` so that all rows of a group are on one side: a share of the groups, rounded up, tests.
 

@@ -85,6 +85,10 @@ def _split(spark: SparkSession, folder: str) -> DataFrame:
     return splits.time_split(_located(spark, folder))
 
 
+def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return splits.time_parts(_located(spark, folder))
+
+
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
     names = ("orders", "order_items", "order_payments", "order_reviews", "customers")
     return orders.clean_orders(*_raw(spark, folder, *names))
@@ -470,7 +474,7 @@ def group_split_overlap(spark, folder):
 
 @query
 def seeded_sample(spark, folder):
-    test = _split(spark, folder).where("split = 'test'")
+    test = _parts(spark, folder)["test"]
     return explore.sample_rows(test, 500, "order_id").select("order_id", "distance_km", TARGET)
 
 
@@ -603,8 +607,7 @@ def score_batch(spark, folder):
 
 
 def _drift_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
-    split = _split(spark, folder)
-    return split.where("split = 'train'"), splits.north_orders(_located(spark, folder))
+    return _parts(spark, folder)["train"], splits.north_orders(_located(spark, folder))
 
 
 @query
@@ -634,24 +637,24 @@ def drift_report_all_columns(spark, folder):
 
 
 def _monitored(spark, folder) -> dict[str, DataFrame]:
-    split = _split(spark, folder)
-    guessed = split.withColumn("prediction", evaluate.train_median(split))
-    test = guessed.where("split = 'test'")
+    parts = _parts(spark, folder)
+    median = evaluate.train_median(parts["train"])
+    guessed = _located(spark, folder).withColumn("prediction", median)
+    test = parts["test"].withColumn("prediction", median)
     currents = {
         "normal": explore.sample_rows(test, 500, "order_id"),
         "north": splits.north_orders(guessed),
         "sale_week": splits.sale_week_orders(guessed, *SALE_WEEK),
     }
-    reference = split.where("split = 'train'")
-    return {name: drift.monitor(reference, df, test, min_orders=2, margin=0.5) for name, df in currents.items()}
+    return {name: drift.monitor(parts["train"], df, test, min_orders=2, margin=0.5) for name, df in currents.items()}
 
 
 @query
 def concept_drift(spark, folder):
-    split = _split(spark, folder)
-    guessed = split.withColumn("prediction", evaluate.train_median(split))
-    current = splits.sale_week_orders(guessed, *SALE_WEEK)
-    return drift.concept_drift(guessed.where("split = 'test'"), current)
+    parts = _parts(spark, folder)
+    median = evaluate.train_median(parts["train"])
+    current = splits.sale_week_orders(_located(spark, folder), *SALE_WEEK)
+    return drift.concept_drift(parts["test"].withColumn("prediction", median), current.withColumn("prediction", median))
 
 
 @query

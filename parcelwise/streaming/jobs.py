@@ -118,3 +118,9 @@ def labelled(predictions: DataFrame, deliveries: DataFrame, out: str, checkpoint
         f" AND delivered_at <= order_purchase_timestamp + INTERVAL {LABEL_BOUND_DAYS} DAYS"
     )
     return _start(left.join(right, bound, "inner").drop("delivered_id"), checkpoint, out)
+
+
+def unjoined_labels(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """One row: how many labels were reported, and how many came too late (or for no prediction)."""
+    late = labels.join(joined.select("order_id").distinct(), "order_id", "left_anti")
+    return labels.agg(F.count("*").alias("n_labels"), late.agg(F.count("*")).scalar().alias("n_unjoined"))

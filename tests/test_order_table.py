@@ -1,5 +1,6 @@
 """Cleaning and the order table on hand-made rows."""
 
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,6 +13,12 @@ DAY = timedelta(days=1)
 T0 = datetime(2018, 5, 1, 10)
 
 
+def cosine_km(lat1, lng1, lat2, lng2):
+    """Distance by the spherical law of cosines, another formula than the one under test."""
+    a, b, turn = math.radians(lat1), math.radians(lat2), math.radians(lng2 - lng1)
+    return 6371 * math.acos(math.sin(a) * math.sin(b) + math.cos(a) * math.cos(b) * math.cos(turn))
+
+
 def frame(spark, name, rows):
     schema = ", ".join(f"{c} {k}" for c, k in RAW_TABLES[name].items())
     return spark.createDataFrame(rows, schema)
@@ -164,7 +171,7 @@ def test_order_table(raw):
     ok = rows["ok"]
     # the far seller stands for the order, with all its columns
     assert (ok["seller_state"], ok["seller_lat"], ok["seller_lng"], ok["same_state"]) == ("MG", -20.0, -40.0, 0)
-    assert ok["distance_km"] == pytest.approx(1555, abs=5)
+    assert ok["distance_km"] == pytest.approx(cosine_km(-10.1, -50.1, -20.0, -40.0))
     assert (ok["n_sellers"], ok["n_items"], ok["total_price"], ok["total_freight"]) == (2, 3, 60.0, 3.0)
     assert ok["total_weight_g"] == 500.0
     assert (ok["delivery_days"], ok["estimated_delivery_days"]) == (10, 20)
