@@ -348,8 +348,8 @@ def drift_cells(current: str) -> str:
 def psi_from(binned: str) -> str:
     return f"""
 SELECT "column", sum((q - p) * ln(q / p)) AS psi FROM (
-  SELECT "column", CASE WHEN ref = 0 THEN 1e-4 ELSE ref / CAST(n_ref AS DOUBLE) END AS p,
-    CASE WHEN cur = 0 THEN 1e-4 ELSE cur / CAST(n_cur AS DOUBLE) END AS q
+  SELECT "column", CASE WHEN n_ref = 0 THEN NULL WHEN ref = 0 THEN 1e-4 ELSE ref / CAST(n_ref AS DOUBLE) END AS p,
+    CASE WHEN n_cur = 0 THEN NULL WHEN cur = 0 THEN 1e-4 ELSE cur / CAST(n_cur AS DOUBLE) END AS q
   FROM (SELECT "column", bin, sum(ref) AS ref, sum(cur) AS cur FROM ({binned}) GROUP BY 1, 2)
   JOIN (SELECT "column", sum(ref) AS n_ref, sum(cur) AS n_cur FROM ({binned}) GROUP BY 1) USING ("column"))
 GROUP BY 1"""
@@ -396,10 +396,10 @@ for _name, _source in CURRENTS.items():
 SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS n, avg(abs(med - delivery_days)) AS mae
 FROM ({_source}), s_median GROUP BY 1 HAVING count(*) >= 2"""
     TABLES[f"m_{_name}"] = f"""
-SELECT '{_name}' AS name, mae, test_mae, test_mae + 5e-1 AS mae_limit, mae > test_mae + 5e-1 AS over_limit,
+SELECT '{_name}' AS name, mae, test_mae, test_mae + 5e-1 AS mae_limit, coalesce(mae > test_mae + 5e-1, FALSE) AS over_limit,
   (SELECT count(*) FROM m_{_name}_psi WHERE psi > 2e-1 AND "column" IN ('total_weight_g', 'distance_km')) AS n_drifted,
-  (SELECT printf('total_weight_g PSI=%.3f', psi) FROM m_{_name}_psi WHERE "column" = 'total_weight_g') || ', ' ||
-  (SELECT printf('distance_km PSI=%.3f', psi) FROM m_{_name}_psi WHERE "column" = 'distance_km') AS psi_text,
+  (SELECT CASE WHEN psi IS NULL THEN 'total_weight_g PSI=unknown' ELSE printf('total_weight_g PSI=%.3f', psi) END FROM m_{_name}_psi WHERE "column" = 'total_weight_g') || ', ' ||
+  (SELECT CASE WHEN psi IS NULL THEN 'distance_km PSI=unknown' ELSE printf('distance_km PSI=%.3f', psi) END FROM m_{_name}_psi WHERE "column" = 'distance_km') AS psi_text,
   (SELECT count(*) FROM m_{_name}_daily) AS n_days,
   coalesce((SELECT max(length) FROM (SELECT count(*) AS length FROM (
     SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island FROM m_{_name}_daily
@@ -842,7 +842,7 @@ FROM s_split, s_median WHERE split <> 'train' GROUP BY 1""",
     "drift_ks": f'SELECT "column", {r("ks_d")}, {r("ks_p")} FROM f_ks_p',
     "drift_report": drift_rows(["total_weight_g", "distance_km"]),
     "drift_report_all_columns": drift_rows(DRIFT_COLUMNS),
-    "concept_drift": f"SELECT {r('mae')}, {r('test_mae')}, {r('test_mae + 2', 'mae_limit')}, mae > test_mae + 2 AS over_limit FROM m_sale_week",
+    "concept_drift": f"SELECT {r('mae')}, {r('test_mae')}, {r('test_mae + 2', 'mae_limit')}, coalesce(mae > test_mae + 2, FALSE) AS over_limit FROM m_sale_week",
     "drift_verdict": f"SELECT {JUDGED} FROM m_all",
     "drift_alerts": """SELECT verdict || ' detected on ' || name AS title, substr(psi_text || ' (limit 0.2)' || chr(10) ||
   printf('MAE=%.2f days, limit %.2f (test MAE %.2f + 2), %d consecutive days over the limit', mae, mae_limit, test_mae,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.functions.order_stats import percentiles, running_counts
+from parcelwise.functions.scalar import flag
 from parcelwise.operators.evaluate import mae
 from parcelwise.operators.features import TARGET
 
@@ -42,7 +43,8 @@ def paired_counts(reference: DataFrame, current: DataFrame, columns: Sequence[st
 def _psi(bins: DataFrame) -> DataFrame:
     """Population stability from the counts per (column, bin)."""
     sizes = bins.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    share = lambda c: f"greatest(coalesce({c} / nullif(n_{c}, 0), 0D), CASE WHEN {c} = 0 THEN {EMPTY_SHARE!r}D ELSE 0D END)"
+    # Against an empty table there is no share, so the index is null and nothing counts as drifted.
+    share = lambda c: f"CASE WHEN n_{c} > 0 THEN CASE WHEN {c} = 0 THEN {EMPTY_SHARE!r}D ELSE {c} / n_{c} END END"
     # One row per named column, so the size of this side is known.
     shares = bins.join(F.broadcast(sizes), "column").selectExpr("column", f"{share('ref')} AS p", f"{share('cur')} AS q")
     return shares.groupBy("column").agg(F.sum(F.expr("(q - p) * ln(q / p)")).alias("psi"))
@@ -148,11 +150,13 @@ def monitor(
 ) -> DataFrame:
     """One row with everything the verdict rests on. ``current`` and ``test`` carry predictions."""
     inputs = psi(reference, current, deciding)
+    of = lambda c: F.max(F.when(F.col("column") == c, F.col("psi")))
     text = F.concat_ws(", ", *[
-        F.format_string(f"{c} PSI=%.3f", F.max(F.when(F.col("column") == c, F.col("psi")))) for c in deciding
+        F.when(of(c).isNull(), F.lit(f"{c} PSI=unknown")).otherwise(F.format_string(f"{c} PSI=%.3f", of(c)))
+        for c in deciding
     ])
     drifted = inputs.agg(
-        F.struct(F.sum((F.col("psi") > PSI_LIMIT).cast("bigint")).alias("n"), text.alias("psi_text"))
+        F.struct(F.coalesce(F.sum(flag(F.col("psi") > PSI_LIMIT)), F.lit(0)).alias("n"), text.alias("psi_text"))
     ).scalar()
     errors = concept_drift(test, current, margin)
     limit = errors.select("mae_limit").scalar()

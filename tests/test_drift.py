@@ -59,6 +59,14 @@ def test_same_data_does_not_drift(spark):
     assert drift.psi(constant, constant, ["x"]).first()["psi"] == 0
 
 
+def test_nothing_to_compare_is_no_drift(spark):
+    columns = "order_purchase_timestamp timestamp, delivery_days bigint, total_weight_g double, distance_km double, prediction double"
+    rows = spark.createDataFrame([(datetime(2020, 1, 1), 5, float(i), 2.0 * i, 4.0) for i in range(30)], columns)
+    row = drift.monitor(rows, rows.where("false"), rows).first()
+    assert (row["code"], row["verdict"], row["retrain"], row["n_drifted"], row["mae"]) == (0, "no drift", False, 0, None)
+    assert row["psi_text"] == "total_weight_g PSI=unknown, distance_km PSI=unknown"
+
+
 def test_decile_bins(spark):
     ref, cur = list(range(100)), [v + 30 for v in range(100)]
     cuts = [np.percentile(ref, p) for p in range(10, 100, 10)]
