@@ -102,14 +102,14 @@ SELECT s_suppkey AS seller_id, CAST((s_suppkey * 53) % 1010 AS VARCHAR) AS selle
 FROM supplier"""
 TABLES["t_geo_base"] = """
 SELECT *, l_partkey % 1000 AS z,
-  (((l_partkey % 1000) * 37) % 380) / 1e1 - 33e0 + (l_quantity - 25e0) / 1e3 AS lat,
-  (((l_partkey % 1000) * 53) % 380) / 1e1 - 73e0 + (l_tax - 4e-2) AS lng
+  (((l_partkey % 1000) * 37) % 380) * 100 - 33000 + CAST(l_quantity AS BIGINT) - 25
+    + CASE WHEN l_orderkey % 251 = 0 THEN 60000 WHEN l_orderkey % 97 = 0 THEN 5000 ELSE 0 END AS lat,
+  (((l_partkey % 1000) * 53) % 380) * 100 - 73000 + (l_linenumber - 4) * 10 AS lng
 FROM lineitem"""
 TABLES["t_geo"] = f"""
 SELECT CAST(z AS VARCHAR) AS geolocation_zip_code_prefix,
-  CASE WHEN l_orderkey % 499 <> 0 THEN round(CASE WHEN l_orderkey % 251 = 0 THEN lat + 60e0
-    WHEN l_orderkey % 97 = 0 THEN lat + 5e0 ELSE lat END, 3) END AS geolocation_lat,
-  CASE WHEN l_orderkey % 499 <> 0 THEN round(lng, 3) END AS geolocation_lng,
+  CASE WHEN l_orderkey % 499 <> 0 THEN lat / 1e3 END AS geolocation_lat,
+  CASE WHEN l_orderkey % 499 <> 0 THEN lng / 1e3 END AS geolocation_lng,
   CASE WHEN l_linenumber = 7 THEN chr(9) || 'city_' || CAST(l_suppkey % 3 AS VARCHAR) || ' '
     ELSE 'city_' || CAST(l_suppkey % 3 AS VARCHAR) END AS geolocation_city,
   {STATE_LIST}[z % 27 + 1] AS geolocation_state

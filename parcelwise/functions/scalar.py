@@ -12,6 +12,9 @@ SATISFIED_FROM = 4.0
 LATE_BIN_EDGES = [-20, -10, -5, 0, 5, 10, 20]
 LATE_BIN_LABELS = ["< -20", "-20…-10", "-10…-5", "-5…0", "1…5", "6…10", "11…20", "> 20"]
 
+# Every character that counts as whitespace in Unicode text.
+WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 DAY_MICROS = 86_400_000_000
 
 
@@ -34,7 +37,7 @@ def pad_zip(code) -> Column:
 
 def strip(text) -> Column:
     """Trim any whitespace, tabs and line ends included."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITESPACE))
 
 
 def squeeze(text) -> Column:

@@ -25,8 +25,7 @@ def _scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _state(number: str) -> Column:
-    codes = ", ".join(f"'{code}'" for code in STATE_CODES)
-    return F.expr(f"element_at(array({codes}), CAST({number} AS INT) + 1)")
+    return F.expr(f"substring('{''.join(STATE_CODES)}', CAST({number} AS INT) * 2 + 1, 2)")
 
 
 def purchase_time() -> Column:
@@ -129,15 +128,16 @@ def sellers(spark: SparkSession, folder: str) -> DataFrame:
 def geolocation(spark: SparkSession, folder: str) -> DataFrame:
     zip_no = F.pmod("l_partkey", F.lit(ZIPS))
     key = F.col("l_orderkey")
-    lat = F.pmod(zip_no * 37, F.lit(380)) / F.lit(10.0) - 33.0 + (F.col("l_quantity") - 25.0) / F.lit(1000.0)
-    lng = F.pmod(zip_no * 53, F.lit(380)) / F.lit(10.0) - 73.0 + (F.col("l_tax") - 0.04)
-    lat = F.when(key % 251 == 0, lat + 60.0).when(key % 97 == 0, lat + 5.0).otherwise(lat)
+    # Whole thousandths of a degree, so that one division gives the coordinate.
+    lat = F.pmod(zip_no * 37, F.lit(380)) * 100 - 33_000 + F.col("l_quantity").cast("bigint") - 25
+    lng = F.pmod(zip_no * 53, F.lit(380)) * 100 - 73_000 + (F.col("l_linenumber") - 4) * 10
+    lat = lat + F.when(key % 251 == 0, 60_000).when(key % 97 == 0, 5_000).otherwise(0)
     known = F.pmod(key, F.lit(499)) != 0
     city = F.concat(F.lit("city_"), F.pmod("l_suppkey", F.lit(3)).cast("string"))
     return _scan(spark, folder, "lineitem").select(
         zip_no.cast("string").alias("geolocation_zip_code_prefix"),
-        F.when(known, F.round(lat, 3)).alias("geolocation_lat"),
-        F.when(known, F.round(lng, 3)).alias("geolocation_lng"),
+        F.when(known, lat / F.lit(1000.0)).alias("geolocation_lat"),
+        F.when(known, lng / F.lit(1000.0)).alias("geolocation_lng"),
         F.when(F.col("l_linenumber") == 7, F.concat(F.lit("\t"), city, F.lit(" "))).otherwise(city).alias(
             "geolocation_city"
         ),
