@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions.order_stats import match, medians, percentiles
 from parcelwise.functions.scalar import hash_key, holds, item_group, late_bin_label, right_closed_bin, satisfaction
+from parcelwise.session import cut_lineage
 
 LABELS = ["satisfied", "unsatisfied"]
 
@@ -218,7 +219,7 @@ def monthly_orders(orders: DataFrame, min_orders: int = 100) -> DataFrame:
 
 def trim_above(df: DataFrame, column: str, p: float = 0.99) -> DataFrame:
     """Values up to the exact percentile p of the column."""
-    limit = percentiles(df, column, {"limit": p}).scalar()
+    limit = cut_lineage(percentiles(df, column, {"limit": p}), "trim-limit").scalar()
     return df.select(column).where(F.col(column) <= limit)
 
 
