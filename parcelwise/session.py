@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +38,7 @@ def local_session(cores: int | str = 8, app: str = "parcelwise", **extra: str) -
         # Call-site capture costs milliseconds per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", os.environ.get("PARCELWISE_WORK", "/tmp/parcelwise-work"))
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
     )
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
@@ -48,12 +49,17 @@ def local_session(cores: int | str = 8, app: str = "parcelwise", **extra: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a scratch one only where that is unset."""
+    """The folder all machines share, named in ``spark.checkpoint.dir`` when the session is built.
+
+    Without that setting only a session on one machine goes on, in a folder beside its warehouse; on a
+    cluster a folder of the driver would be lost to the executors, so that is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="parcelwise-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
