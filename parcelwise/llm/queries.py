@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, sharding
+from parcelwise.llm import bpe, fmindex, sharding, simhash
 from parcelwise.llm.common import read
 
 SHARDS = 8
@@ -31,6 +31,27 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    found = fmindex.decontaminated(
+        read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"), spans=False
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        fmindex.contaminated().alias("contaminated"),
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by their SimHash."""
+    found = simhash.classes(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the byte-level vocabulary and decoded again."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -41,5 +62,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op6_fmindex": op6_fmindex,
+    "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
 }

@@ -2,4 +2,83 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from parcelwise.llm.sharding import BUCKETS, PRIME, ROUNDS, round_keys
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _network(total_rounds: int, seed: int) -> str:
+    """A chain of subqueries: one round of the permutation each, over the pair (l, r)."""
+    steps = []
+    for i, (k1, k2) in enumerate(round_keys(seed, total_rounds)):
+        other, own, size = ("r", "l", "a") if i % 2 == 0 else ("l", "r", "b")
+        once = f"(({other} + {k1}) % {PRIME})"
+        twice = f"(({once} * {once} + {k2}) % {PRIME})"
+        mixed = f"({own} + {twice} * {twice} % {PRIME}) % {size}"
+        pair = f"{mixed} AS l, r" if own == "l" else f"l, {mixed} AS r"
+        source = "start" if i == 0 else f"round{i - 1}"
+        steps.append(f"round{i} AS (SELECT n, step, a, b, total, {pair} FROM {source})")
+    return ", ".join(steps)
+
+
+# Row numbers by (bucket of the digest, columns), then as many walks of the network as numbers lie beyond the last row.
+_OP1 = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+sized AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size,
+    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+      list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+      lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc_table),
+digests AS (
+  SELECT *, CAST('0x' || substr(md5(coalesce('=' || doc_id, '-') || '|=' || size || '|=' || text_crc32), 1, 7) AS BIGINT)
+    % {BUCKETS} AS bucket FROM sized),
+numbers AS (
+  SELECT doc_id, size, text_crc32, count(*) OVER () AS total,
+    row_number() OVER (ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS n FROM digests),
+sides AS (SELECT *, CAST(greatest(ceil(sqrt(total)), 1) AS BIGINT) AS a FROM numbers),
+grid AS (SELECT *, greatest((total + a - 1) // a, 1) AS b FROM sides),
+walk AS (
+  SELECT n, 0 AS step, a, b, total, n AS place FROM grid
+  UNION ALL
+  SELECT n, step, a, b, total, l * b + r AS place FROM (
+    WITH start AS (SELECT n, step + 1 AS step, a, b, total, place // b AS l, place % b AS r FROM walk
+      WHERE step = 0 OR place >= total), {_network(ROUNDS, 20)}
+    SELECT * FROM round{ROUNDS - 1}) moved),
+places AS (SELECT n, place FROM walk WHERE step > 0 AND place < total)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % 8 AS INTEGER) AS shard, place // 8 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM grid JOIN places USING (n)
+"""
+
+_OP6 = f"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS size, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+places AS (
+  SELECT d, size, pos, array_to_string(w[pos : pos + size - 1], ' ') AS phrase
+  FROM (SELECT d, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM doc_words, (SELECT DISTINCT size FROM windows)
+    WHERE len(w) >= size)),
+found AS (SELECT d, item_id, pos, places.size AS size FROM places JOIN windows USING (phrase, size)),
+hits AS (SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(range(pos, pos + size)) AS p FROM found) GROUP BY d),
+items AS (
+  SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT d, coalesce(CAST(item_id AS VARCHAR), 'null') AS item FROM found) GROUP BY d)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
+FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": _OP1,
+    "op6_fmindex": _OP6,
+}
