@@ -95,10 +95,12 @@ class FmIndex:
     """Backward search over a sequence of numbers, with positions from a sampled suffix array."""
 
     def __init__(self, symbols: np.ndarray, largest: int, sampled: int = SAMPLED):
+        # Every symbol one higher, and an end of its own below all others.
+        symbols = np.concatenate([symbols + 1, [0]])
         order = suffix_array(symbols)
-        self.last = symbols[order - 1]  # the transform; position 0 is preceded by the last symbol
-        self.ranks = WaveletMatrix(self.last, largest)
-        self.smaller = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=largest + 1))])
+        self.last = symbols[order - 1]  # the transform; the end precedes position 0
+        self.ranks = WaveletMatrix(self.last, largest + 1)
+        self.smaller = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=largest + 2))])
         self.sampled = order % sampled == 0
         self.samples = order[self.sampled]
         self.sample_of = np.cumsum(self.sampled) - 1
@@ -111,7 +113,7 @@ class FmIndex:
         which = np.arange(len(phrases))
         low, high = np.zeros(len(phrases), dtype=np.int64), np.full(len(phrases), len(self.last), dtype=np.int64)
         for column in phrases.T[::-1]:
-            symbol = column[which]
+            symbol = column[which] + 1
             low, high = self._step(symbol, low), self._step(symbol, high)
             some = low < high
             which, low, high = which[some], low[some], high[some]
