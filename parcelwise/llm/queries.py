@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, sharding, simhash
+from parcelwise.llm import bpe, fmindex, quality, sharding, simhash
 from parcelwise.llm.common import read
+from parcelwise.session import cut_lineage
 
 SHARDS = 8
 SHARD_SEED = 20
@@ -31,6 +32,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and adaptive fences for all documents."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    # The measures are written once: both the sketches and the verdicts read them.
+    rows = cut_lineage(quality.measured(docs).drop("text"), "quality-measures")
+    found = quality.judged(rows, quality.fences(quality.sketches(rows)))
+    return found.select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
 def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     found = fmindex.decontaminated(
@@ -62,6 +72,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_quality": op2_quality,
     "op6_fmindex": op6_fmindex,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from parcelwise.llm.quality import GAMMA, MIN_GROUP, RATIOS, REACH, ZERO
 from parcelwise.llm.sharding import BUCKETS, PRIME, ROUNDS, round_keys
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -78,7 +79,69 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d)
 """
 
+
+def _bound(name: str, least: float, two_sided: bool) -> str:
+    spread = f"{REACH} * greatest(q3 - q1, {least})"
+    out = f"max(CASE WHEN ratio = '{name}' THEN q3 + {spread} END) AS high_{name}"
+    return out + (f", max(CASE WHEN ratio = '{name}' THEN q1 - {spread} END) AS low_{name}" if two_sided else "")
+
+
+def _quartiles(name: str, keys: str) -> str:
+    """Quartiles of the merged sketches at one level."""
+    lead = f"{keys}, " if keys else ""
+    return f"""
+{name}_sketch AS (SELECT {lead}ratio, bucket, sum(n) AS n FROM sketch GROUP BY {lead}ratio, bucket),
+{name}_placed AS (
+  SELECT *, sum(n) OVER (PARTITION BY {lead}ratio ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {lead}ratio) AS total,
+    CASE WHEN bucket = {ZERO} THEN 0.0 ELSE pow({GAMMA}, bucket + 0.5) END AS middle FROM {name}_sketch),
+{name} AS (
+  SELECT {lead}ratio, max(total) AS size, min(CASE WHEN upto * 4 >= total THEN middle END) AS q1,
+    min(CASE WHEN upto * 4 >= total * 3 THEN middle END) AS q3 FROM {name}_placed GROUP BY {lead}ratio)"""
+
+
+_OP2 = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS d, doc_id, lang, source, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS lines
+  FROM documents),
+grams AS (
+  SELECT d, i, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT d, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
+covered AS (
+  SELECT d, count(DISTINCT p) AS n_repeat_words FROM (
+    SELECT d, unnest([i, i + 1, i + 2]) AS p FROM (SELECT d, i, count(*) OVER (PARTITION BY d, g) AS k FROM grams) WHERE k > 1)
+  GROUP BY d),
+measured AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines FROM base LEFT JOIN covered USING (d)),
+rows_ AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    word_chars / greatest(n_words, 1) AS word_length, n_symbols / greatest(n_words, 1) AS symbols_per_word,
+    n_dup_lines / greatest(n_lines, 1) AS dup_lines, n_repeat_words / greatest(n_words, 1) AS repeat_words FROM measured),
+sketch AS (
+  SELECT lang, source, ratio, CASE WHEN value <= 0 THEN {ZERO} ELSE CAST(floor(ln(value) / ln({GAMMA})) AS INTEGER) END AS bucket,
+    count(*) AS n
+  FROM (UNPIVOT (SELECT lang, source, word_length, symbols_per_word, dup_lines, repeat_words FROM rows_ WHERE NOT base_failed)
+        ON word_length, symbols_per_word, dup_lines, repeat_words INTO NAME ratio VALUE value)
+  GROUP BY ALL),
+{_quartiles("own", "lang, source")},
+{_quartiles("by_lang", "lang")},
+{_quartiles("overall", "")},
+chosen AS (
+  SELECT o.lang, o.source, o.ratio,
+    CASE WHEN o.size >= {MIN_GROUP} THEN o.q1 WHEN l.size >= {MIN_GROUP} THEN l.q1 ELSE a.q1 END AS q1,
+    CASE WHEN o.size >= {MIN_GROUP} THEN o.q3 WHEN l.size >= {MIN_GROUP} THEN l.q3 ELSE a.q3 END AS q3
+  FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio JOIN overall a ON a.ratio = o.ratio),
+bounds AS (SELECT lang, source, {", ".join(_bound(n, *x) for n, x in RATIOS.items())} FROM chosen GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  coalesce(NOT base_failed AND word_length BETWEEN low_word_length AND high_word_length
+    AND symbols_per_word <= high_symbols_per_word AND dup_lines <= high_dup_lines AND repeat_words <= high_repeat_words, FALSE) AS kept
+FROM rows_ r LEFT JOIN bounds b ON r.lang IS NOT DISTINCT FROM b.lang AND r.source IS NOT DISTINCT FROM b.source
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": _OP1,
+    "op2_quality": _OP2,
     "op6_fmindex": _OP6,
 }
