@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,11 +40,6 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(text)
 
 
-def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with a schema given as DDL text or a type."""
-    return df.mapInArrow(work, schema)
-
-
 def pieces(batch: pa.RecordBatch, column: str, step: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose texts hold about ``step`` bytes; one very long text is a range of its own."""
     start = size = 0
@@ -61,6 +58,16 @@ def texts(batch: pa.RecordBatch, column: str, start: int = 0, stop: int | None =
     return [t or b"" for t in part.cast(pa.binary()).to_pylist()]
 
 
+def share(df: DataFrame, value):
+    """Send an object of bounded size to the executors, with the code of its class."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(sent):
+    """The object of :func:`share`, in a task."""
+    return pickle.loads(sent.value)
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of a table followed by more fields."""
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)

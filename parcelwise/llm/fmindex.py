@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import LOWER, TO_LOWER, pieces, texts, with_fields, without
+from parcelwise.llm.common import LOWER, TO_LOWER, pieces, share, shared, texts, with_fields, without
 
 WINDOW = 13
 # A text is contaminated when at least one word in so many is hit.
@@ -219,7 +219,7 @@ def removal_spans(text: bytes, hit: np.ndarray) -> list[dict[str, int]]:
 
 def _one_pass(rows: DataFrame, text: str, phrases, spans: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = phrases.value
+        wanted = shared(phrases)
         for batch in batches:
             for start, stop in pieces(batch, text, SHARD_BYTES):
                 block = texts(batch, text, start, stop)
@@ -260,8 +260,7 @@ def decontaminated(
     their spans are merged.
     """
     rows = without(docs, ["n_words", "n_hit", "items", "spans"])
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(Phrases(block, window)) for block in benchmark_blocks(benchmark, block_bytes)]
+    blocks = [share(docs, Phrases(block, window)) for block in benchmark_blocks(benchmark, block_bytes)]
     passes = [_one_pass(rows, text, block, spans or len(blocks) > 1) for block in blocks]
     return passes[0] if len(passes) == 1 else _merged(rows, passes, text)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, quality, sharding, simhash
+from parcelwise.llm import bpe, fmindex, langid, quality, sharding, simhash
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -41,6 +41,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from three quarters of them."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.where(langid.remainder("doc_id", 4) != 2))
+    held = (langid.remainder("doc_id", 4) == 2).alias("held_out")
+    found = langid.identified(docs.select("doc_id", "text", held), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     found = fmindex.decontaminated(
@@ -73,6 +82,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
+    "op3_langid": op3_langid,
     "op6_fmindex": op6_fmindex,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
