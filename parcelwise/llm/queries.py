@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, langid, quality, sharding, simhash
+from parcelwise.llm import bpe, fmindex, langid, lattice, quality, sharding, simhash
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -50,6 +50,12 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of nine tenths of them."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return lattice.scored(docs.select("doc_id", "text", (langid.remainder("doc_id", 10) == 0).alias("held_out")))
+
+
 def op6_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     found = fmindex.decontaminated(
@@ -83,6 +89,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
+    "op5_lattice": op5_lattice,
     "op6_fmindex": op6_fmindex,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
