@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, langid, lattice, quality, sharding, simhash
+from parcelwise.llm import bpe, fmindex, langid, lattice, linededup, quality, sharding, simhash
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -85,6 +85,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines in all documents."""
+    found = linededup.deduplicated(read(spark, sf_dir, "documents", "doc_id", "text"))
+    spans = F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.array_join(spans, ",").alias("removed_lines"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -93,4 +106,5 @@ QUERIES = {
     "op6_fmindex": op6_fmindex,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
+    "op10_linededup": op10_linededup,
 }
