@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, langid, lattice, linededup, quality, sharding, simhash
+from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, quality, secrets, sharding, simhash
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -50,6 +50,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations from every participant's point of view."""
+    return chat.perspectives(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of nine tenths of them."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -77,6 +82,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secrets.scanned(read(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
+    count = [secrets.count_of("base", k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    return found.select(
+        "doc_id", *count, F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("secrets").alias("spans")
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the byte-level vocabulary and decoded again."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -102,9 +116,11 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
+    "op4_perspectives": op4_perspectives,
     "op5_lattice": op5_lattice,
     "op6_fmindex": op6_fmindex,
     "op7_simhash": op7_simhash,
+    "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_linededup": op10_linededup,
 }

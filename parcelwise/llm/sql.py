@@ -102,8 +102,10 @@ def _quartiles(name: str, keys: str) -> str:
 _OP2 = rf"""
 WITH base AS (
   SELECT row_number() OVER () AS d, doc_id, lang, source, coalesce(text, '') AS text,
-    list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS lines
+    list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS lines
   FROM documents),
 grams AS (
   SELECT d, i, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT d, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
@@ -140,8 +142,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM rows_ r LEFT JOIN bounds b ON r.lang IS NOT DISTINCT FROM b.lang AND r.source IS NOT DISTINCT FROM b.source
 """
 
+_OP4 = """
+WITH said AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
+present AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+segments AS (
+  SELECT s.*, perspective,
+    CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role,
+    '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+      ELSE 'user name=' || speaker END || chr(10) AS header, '<|im_end|>' || chr(10) AS tail
+  FROM said s JOIN present p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS position, length(header || body || tail) AS chars,
+    CAST(sum(length(header || body || tail)) OVER w AS BIGINT) AS "end"
+  FROM segments WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, body ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, position, turn, speaker, role, header || body || tail AS segment, "end" - chars AS start, "end",
+  CASE WHEN role = 'assistant' THEN "end" - chars + length(header) END AS train_start,
+  CASE WHEN role = 'assistant' THEN "end" - 1 END AS train_end
+FROM placed
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": _OP1,
     "op2_quality": _OP2,
+    "op4_perspectives": _OP4,
     "op6_fmindex": _OP6,
 }
