@@ -29,6 +29,12 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def read_all(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table with all its columns."""
+    configure(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """The table without columns whose names an operator is about to add: its results win."""
     taken = {n.lower() for n in names}
