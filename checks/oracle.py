@@ -9,9 +9,10 @@ from __future__ import annotations
 import re
 
 # Fixed values.
-STATES = (
-    "AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR RJ RN RO RR RS SC SE SP TO"
-).split()
+STATES = [
+    "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA",
+    "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO",
+]
 STATE_LIST = "[" + ", ".join(f"'{s}'" for s in STATES) + "]"
 STATE_SET = "(" + ", ".join(f"'{s}'" for s in STATES) + ")"
 NORTH = "('AC', 'AP', 'AM', 'PA', 'RO', 'RR', 'TO')"
@@ -89,7 +90,7 @@ SELECT (event_id // 2) * 3 AS order_id, event_id % 2 + 1 AS payment_sequential,
 FROM events"""
 TABLES["t_reviews"] = """
 SELECT l_suppkey AS review_id, l_orderkey AS order_id, CAST(l_quantity AS BIGINT) % 5 + 1 AS review_score
-FROM lineitem WHERE l_linenumber <= 4"""
+FROM lineitem"""
 TABLES["t_customers"] = f"""
 SELECT c_custkey AS customer_id, c_custkey // 3 AS customer_unique_id,
   CAST(c_custkey % 1010 AS VARCHAR) AS customer_zip_code_prefix,
@@ -388,35 +389,48 @@ CURRENTS = {
     "normal": f"SELECT * FROM s_split WHERE split = 'test' ORDER BY {hashed('order_id')}, order_id LIMIT 500",
     "north": f"SELECT * FROM s_split WHERE customer_state IN {NORTH}",
     "sale_week": f"SELECT * FROM s_split WHERE {WEEK}",
+    "december": "SELECT * FROM s_split WHERE month(order_purchase_timestamp) = 12",
 }
-for _name, _source in CURRENTS.items():
-    TABLES[f"m_{_name}_cells"] = drift_cells(_source)
-    TABLES[f"m_{_name}_psi"] = psi_from(sturges(f"m_{_name}_cells"))
-    TABLES[f"m_{_name}_daily"] = f"""
+PSI_TEXT = " || ', ' || ".join(
+    f"""(SELECT CASE WHEN psi IS NULL THEN '{c} PSI=unknown' ELSE printf('{c} PSI=%.3f', psi) END FROM PSI WHERE "column" = '{c}')"""
+    for c in ("total_weight_g", "distance_km")
+)
+
+
+def judged_tables(prefix: str, min_orders: int, margin: str) -> None:
+    """The verdict on every current table, with days of so many orders judged and so much margin on the error."""
+    for name, source in CURRENTS.items():
+        TABLES[f"m_{name}_cells"] = drift_cells(source)
+        TABLES[f"m_{name}_psi"] = psi_from(sturges(f"m_{name}_cells"))
+        TABLES[f"{prefix}_{name}_daily"] = f"""
 SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS n, avg(abs(med - delivery_days)) AS mae
-FROM ({_source}), s_median GROUP BY 1 HAVING count(*) >= 2"""
-    TABLES[f"m_{_name}"] = f"""
-SELECT '{_name}' AS name, mae, test_mae, test_mae + 5e-1 AS mae_limit, coalesce(mae > test_mae + 5e-1, FALSE) AS over_limit,
-  (SELECT count(*) FROM m_{_name}_psi WHERE psi > 2e-1 AND "column" IN ('total_weight_g', 'distance_km')) AS n_drifted,
-  (SELECT CASE WHEN psi IS NULL THEN 'total_weight_g PSI=unknown' ELSE printf('total_weight_g PSI=%.3f', psi) END FROM m_{_name}_psi WHERE "column" = 'total_weight_g') || ', ' ||
-  (SELECT CASE WHEN psi IS NULL THEN 'distance_km PSI=unknown' ELSE printf('distance_km PSI=%.3f', psi) END FROM m_{_name}_psi WHERE "column" = 'distance_km') AS psi_text,
-  (SELECT count(*) FROM m_{_name}_daily) AS n_days,
+FROM ({source}), s_median GROUP BY 1 HAVING count(*) >= {min_orders}"""
+        TABLES[f"{prefix}_{name}"] = f"""
+SELECT '{name}' AS name, mae, test_mae, {margin} AS margin, test_mae + {margin} AS mae_limit,
+  coalesce(mae > test_mae + {margin}, FALSE) AS over_limit,
+  (SELECT count(*) FROM m_{name}_psi WHERE psi > 2e-1 AND "column" IN ('total_weight_g', 'distance_km')) AS n_drifted,
+  {PSI_TEXT.replace('PSI WHERE', f'm_{name}_psi WHERE')} AS psi_text,
+  (SELECT count(*) FROM {prefix}_{name}_daily) AS n_days,
   coalesce((SELECT max(length) FROM (SELECT count(*) AS length FROM (
-    SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island FROM m_{_name}_daily
-    WHERE mae > test_mae + 5e-1) GROUP BY island)), 0) AS streak
-FROM (SELECT avg(abs(med - delivery_days)) AS mae FROM ({_source}), s_median),
+    SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island FROM {prefix}_{name}_daily
+    WHERE mae > test_mae + {margin}) GROUP BY island)), 0) AS streak
+FROM (SELECT avg(abs(med - delivery_days)) AS mae FROM ({source}), s_median),
   (SELECT avg(abs(med - delivery_days)) AS test_mae FROM s_split, s_median WHERE split = 'test')"""
-TABLES["m_all"] = f"""
+    TABLES[f"{prefix}_all"] = f"""
 SELECT *, CASE WHEN n_drifted > 0 THEN 2 WHEN over_limit THEN 3 ELSE 0 END AS code,
   CASE WHEN n_drifted > 0 THEN 'Data Drift' WHEN over_limit THEN 'Concept Drift' ELSE 'no drift' END AS verdict,
   n_drifted > 0 OR streak >= 2 AS retrain
-FROM ({' UNION ALL '.join(f'SELECT * FROM m_{n}' for n in CURRENTS)})"""
+FROM ({' UNION ALL '.join(f'SELECT * FROM {prefix}_{n}' for n in CURRENTS)})"""
+
+
+judged_tables("m", 30, "2e0")
+judged_tables("k", 2, "5e-1")
 
 # --- evaluation ---
 TABLES["e_long"] = """
-SELECT order_id, split, delivery_days AS y, 'median' AS model, med AS p FROM s_split, s_median WHERE split <> 'train'
-UNION ALL SELECT order_id, split, delivery_days, 'estimate', CAST(estimated_delivery_days AS DOUBLE) FROM s_split WHERE split <> 'train'
-UNION ALL SELECT order_id, split, delivery_days, 'half_estimate', estimated_delivery_days / 2e0 FROM s_split WHERE split <> 'train'"""
+SELECT order_id, split, delivery_days AS y, 'median' AS model, med AS p FROM s_split, s_median WHERE split IN ('val', 'test')
+UNION ALL SELECT order_id, split, delivery_days, 'estimate', CAST(estimated_delivery_days AS DOUBLE) FROM s_split WHERE split IN ('val', 'test')
+UNION ALL SELECT order_id, split, delivery_days, 'half_estimate', estimated_delivery_days / 2e0 FROM s_split WHERE split IN ('val', 'test')"""
 TABLES["e_errors"] = """
 SELECT model, split, count(*) AS n, avg(abs(p - y)) AS mae, sqrt(avg(pow(p - y, 2))) AS rmse FROM e_long GROUP BY 1, 2"""
 TABLES["e_wide"] = """
@@ -442,8 +456,9 @@ TABLES["x_groups"] = f"""
 SELECT customer_unique_id, row_number() OVER (ORDER BY {hashed('customer_unique_id')}) AS place, count(*) OVER () AS n
 FROM (SELECT DISTINCT customer_unique_id FROM o_clean WHERE customer_unique_id IS NOT NULL)"""
 TABLES["x_split"] = """
-SELECT order_id, customer_unique_id, CASE WHEN place <= ceil(n * 0.2e0) THEN 'test' ELSE 'train' END AS split
-FROM o_clean JOIN x_groups USING (customer_unique_id)"""
+SELECT order_id, o_clean.customer_unique_id, CASE WHEN place IS NULL THEN 'unplaced' WHEN place <= ceil(n * 0.2e0) THEN 'test'
+  ELSE 'train' END AS split
+FROM o_clean LEFT JOIN x_groups ON o_clean.customer_unique_id = x_groups.customer_unique_id"""
 TABLES["x_days"] = """
 SELECT delivery_days AS v FROM d_orders
 WHERE delivery_days <= (SELECT quantile_cont(delivery_days, 0.99) FROM d_orders)"""
@@ -536,10 +551,19 @@ COLUMNS = {
         },
     ),
 }
+
+
+def fingerprint_cell(column: str, kind: str) -> str:
+    """The length and the text of a value; a null has no length."""
+    text = {"double": f"printf('%.4f', {column})", "timestamp": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}
+    value = text.get(kind, f"CAST({column} AS VARCHAR)")
+    return f"coalesce(length({value}) || ':' || {value}, '-')"
+
+
 TABLES["t_all_reviews"] = """
 SELECT l_suppkey AS review_id, l_orderkey AS order_id, CAST(l_quantity AS BIGINT) % 5 + 1 AS review_score,
   l_shipdate AS review_creation_date, l_shipdate AS review_answer_timestamp
-FROM lineitem WHERE l_linenumber <= 4"""
+FROM lineitem"""
 
 
 def build(body: str) -> str:
@@ -589,7 +613,8 @@ LOG_COLUMNS = ", ".join([
     r("throughput"), r("p50"), r("p95"),
 ])
 TABLES["w_days"] = f"""
-SELECT CAST(ts AS DATE) AS day, {LOG_TOTALS}, count(*) FILTER (status >= 500) / CAST(count(*) AS DOUBLE) AS error_rate
+SELECT CAST(ts AS DATE) AS day, {LOG_TOTALS}, count(*) FILTER (status >= 500) / CAST(count(*) AS DOUBLE) AS error_rate,
+  quantile_disc(latency_ms, 0.5) AS p50, quantile_disc(latency_ms, 0.95) AS p95, max(model_version) AS model_version
 FROM t_log GROUP BY 1
 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM t_log) - INTERVAL 1 HOUR"""
 TABLES["w_labels"] = f"""
@@ -605,8 +630,11 @@ ORDER_ROW = f"""order_id, customer_id, customer_state, customer_city, {r('custom
   {big('same_state')}, {big('estimated_delivery_days')}"""
 POINT = f"geolocation_zip_code_prefix, {r('geolocation_lat')}, {r('geolocation_lng')}, geolocation_city, geolocation_state"
 FLAGS = f"{POINT}, {r('dist_from_zip_median_km')}, is_coord_outlier, is_duplicate_row"
-JUDGED = f"""name, {r('mae')}, {r('test_mae')}, {r('mae_limit')}, over_limit, {big('n_drifted')}, psi_text,
+JUDGED = f"""name, {r('mae')}, {r('test_mae')}, {r('margin')}, {r('mae_limit')}, over_limit, {big('n_drifted')}, psi_text,
   {big('n_days')}, {big('streak')}, {big('code')}, verdict, retrain"""
+SLOW_DETAIL = """printf('95 of 100 answers within %.1f ms, allowed 200; failed %.2f in 100, allowed less than 1; ', round(p95, 1),
+    round(100e0 * errors_total / requests_total, 2)) ||
+  printf('%d requests, %d of them turned away; model ', requests_total, rejected_total) || model_version"""
 LATE_BIN = """CASE WHEN late_days <= -20 THEN 0 WHEN late_days <= -10 THEN 1 WHEN late_days <= -5 THEN 2
   WHEN late_days <= 0 THEN 3 WHEN late_days <= 5 THEN 4 WHEN late_days <= 10 THEN 5 WHEN late_days <= 20 THEN 6
   ELSE 7 END"""
@@ -731,7 +759,7 @@ FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)""",
     "planted_faults": f'SELECT {big("row_no")}, "column", rule, value FROM v_found',
     "profile_tables": " UNION ALL ".join(profile(t, list(c), n) for n, (t, c) in COLUMNS.items()),
     "profile_columns": " UNION ALL ".join(
-        column_profile(*COLUMNS[n], n) for n in ("orders", "customers", "products")
+        column_profile(*COLUMNS[n], n) for n in COLUMNS
     ),
     "describe_numeric": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", {big(f'count({c})', 'n')}, {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')},
@@ -741,9 +769,10 @@ FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)""",
     ),
     "describe_text": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", {big(f'count({c})', 'n')}, {big(f'count(DISTINCT {c})', 'n_distinct')},
-  (SELECT {c} FROM t_customers GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS top,
-  {big(f'(SELECT count(*) FROM t_customers GROUP BY {c} ORDER BY 1 DESC LIMIT 1)', 'freq')} FROM t_customers"""
-        for c in ("customer_zip_code_prefix", "customer_city", "customer_state")
+  (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS top,
+  {big(f'(SELECT count(*) FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1)', 'freq')},
+  '{n}' AS table_name FROM {t}"""
+        for n, (t, columns) in COLUMNS.items() for c, kind in columns.items() if kind == "string"
     ),
     "value_counts": f"SELECT main_payment_type AS value, {big('count(*)', 'n')} FROM o_clean WHERE main_payment_type IS NOT NULL GROUP BY 1",
     "score_counts": f"SELECT {big('round_even(review_score, 0)', 'score')}, {big('count(*)', 'n')} FROM o_clean GROUP BY 1",
@@ -753,12 +782,9 @@ FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)""",
 GROUP BY 1 HAVING count(DISTINCT o_orderkey) > 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "dataset_fingerprint": " UNION ALL ".join(
         f"""SELECT '{n}' AS table_name, {big('count(*)', 'n_rows')},
-  {big("sum(CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
-       + ")), 1, 8) AS BIGINT))", 'checksum')} FROM t_{n}"""
-        for n, cols in (
-            ("customers", list(COLUMNS["customers"][1])),
-            ("products", ["product_id", "product_category_name", "product_name_lenght", "product_photos_qty"]),
-        )
+  {big("sum(CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(fingerprint_cell(c, k) for c, k in columns.items())
+       + ")), 1, 8) AS BIGINT))", 'checksum')} FROM {t}"""
+        for n, (t, columns) in COLUMNS.items()
     ),
     "order_satisfaction": f"""SELECT order_id, {r('review_score')}, {label('review_score')} AS label, {big('late_days')},
   {big('is_late')}, {LATE_LABEL}[{LATE_BIN} + 1] AS late_bin FROM o_clean""",
@@ -778,10 +804,22 @@ UNION ALL SELECT CASE WHEN n_items >= 4 THEN '4+' ELSE CAST(n_items AS VARCHAR)
         for t in ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
     )
     + """ FROM (SELECT *, date_trunc('month', order_purchase_timestamp) AS month_start FROM o_clean
-  WHERE main_payment_type IS NOT NULL) GROUP BY month_start HAVING count(*) >= 10""",
+  WHERE main_payment_type IS NOT NULL) GROUP BY month_start HAVING count(*) >= 100""",
     "monthly_orders": f"""SELECT {ts('month_start', 'month')}, {big('count(*)', 'n')},
   {r("100 * avg(CASE WHEN actual = 'unsatisfied' THEN 1e0 ELSE 0e0 END)", 'unsatisfied_pct')}
 FROM (SELECT *, date_trunc('month', order_purchase_timestamp) AS month_start FROM x_labels)
+GROUP BY month_start HAVING count(*) >= 100""",
+    "monthly_pivot_thin": "SELECT "
+    + ts("month_start", "month") + f", {big('count(*)', 'n')}, "
+    + ", ".join(
+        big(f"count(*) FILTER (main_payment_type = '{t}')", t)
+        for t in ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
+    )
+    + """ FROM (SELECT *, date_trunc('month', order_purchase_timestamp) AS month_start FROM o_clean
+  WHERE main_payment_type IS NOT NULL) GROUP BY month_start HAVING count(*) >= 10""",
+    "monthly_orders_thin": f"""SELECT {ts('month_start', 'month')}, {big('count(*)', 'n')},
+  {r("100 * avg(CASE WHEN actual = 'unsatisfied' THEN 1e0 ELSE 0e0 END)", 'unsatisfied_pct')}
+FROM (SELECT *, date_trunc('month', order_purchase_timestamp) AS month_start FROM x_labels)
 GROUP BY month_start HAVING count(*) >= 50""",
     "histogram_trimmed": f"""SELECT {big('b.bin', 'bin')}, {big('count(v)', 'n')}
 FROM range(0, (SELECT max(v) + 1 FROM x_days)) AS b(bin) LEFT JOIN x_days ON v = bin GROUP BY 1""",
@@ -819,14 +857,14 @@ LEFT JOIN {HOT['seller_state']} b ON s_located.seller_state = b.seller_state""",
     "baseline_estimate_mae": f"SELECT split, {big('count(*)', 'n')}, {r('avg(abs(estimated_delivery_days - delivery_days))', 'mae')} FROM s_split GROUP BY 1",
     "baseline_median_mae": f"""SELECT split, {big('count(*)', 'n')}, {r('max(med)', 'median_days')},
   {r('avg(abs(med - delivery_days))', 'mae')}, {r('sqrt(avg(pow(med - delivery_days, 2)))', 'rmse')}
-FROM s_split, s_median WHERE split <> 'train' GROUP BY 1""",
+FROM s_split, s_median WHERE split IN ('val', 'test') GROUP BY 1""",
     "model_errors": f"SELECT model, split, {big('n')}, {r('mae')}, {r('rmse')} FROM e_errors",
     "model_choice": f"""SELECT model, {r('val_mae')}, {r('val_rmse')}, {r('test_mae')}, {r('test_rmse')},
   model = (SELECT model FROM e_wide ORDER BY val_mae, model LIMIT 1) AS is_best FROM e_wide""",
     "promotion_gate": f"""SELECT "case", {r('new_mae')}, {r('baseline_mae')}, {r('champion_mae')}, beats_baseline, improves_enough,
   beats_baseline AND improves_enough AS promoted,
-  concat_ws('; ', CASE WHEN NOT beats_baseline THEN printf('MAE %.3f does not beat baseline %.3f', new_mae, baseline_mae) END,
-    CASE WHEN NOT improves_enough THEN printf('MAE %.3f not 5%% better than champion (%.3f)', new_mae, champion_mae) END)
+  concat_ws('; ', CASE WHEN NOT beats_baseline THEN printf('error %.3f is not below the baseline''s %.3f', new_mae, baseline_mae) END,
+    CASE WHEN NOT improves_enough THEN printf('error %.3f is not 5 in 100 below the current model''s %.3f', new_mae, champion_mae) END)
   AS reasons FROM e_cases""",
     "late_vs_predicted": f"""SELECT split, {big('count(*)', 'n')},
   {r('avg(CASE WHEN delivery_days > med THEN 1e0 ELSE 0e0 END)', 'late_share')} FROM s_split, s_median GROUP BY 1""",
@@ -842,11 +880,13 @@ FROM s_split, s_median WHERE split <> 'train' GROUP BY 1""",
     "drift_ks": f'SELECT "column", {r("ks_d")}, {r("ks_p")} FROM f_ks_p',
     "drift_report": drift_rows(["total_weight_g", "distance_km"]),
     "drift_report_all_columns": drift_rows(DRIFT_COLUMNS),
-    "concept_drift": f"SELECT {r('mae')}, {r('test_mae')}, {r('test_mae + 2', 'mae_limit')}, coalesce(mae > test_mae + 2, FALSE) AS over_limit FROM m_sale_week",
+    "concept_drift": f"SELECT {r('mae')}, {r('test_mae')}, {r('2', 'margin')}, {r('test_mae + 2', 'mae_limit')}, coalesce(mae > test_mae + 2, FALSE) AS over_limit FROM m_sale_week",
     "drift_verdict": f"SELECT {JUDGED} FROM m_all",
-    "drift_alerts": """SELECT verdict || ' detected on ' || name AS title, substr(psi_text || ' (limit 0.2)' || chr(10) ||
-  printf('MAE=%.2f days, limit %.2f (test MAE %.2f + 2), %d consecutive days over the limit', mae, mae_limit, test_mae,
-    CAST(streak AS BIGINT)) || chr(10) || 'Retrain: ' || CASE WHEN retrain THEN 'yes' ELSE 'not yet' END, 1, 1000) AS detail
+    "drift_verdict_small_days": f"SELECT {JUDGED} FROM k_all",
+    "drift_alerts": """SELECT name || ': ' || lower(verdict) AS title, substr('inputs, drifted above 0.2: ' || psi_text || '; ' ||
+  printf('error %.2f days against %.2f in the test; allowed %.2f (%.2f more)', round(mae, 2), round(test_mae, 2), round(mae_limit, 2), margin) ||
+  printf('; days above that in a row: %d; ', CAST(streak AS BIGINT)) ||
+  CASE WHEN retrain THEN 'train a new model' ELSE 'keep watching' END, 1, 1000) AS detail
 FROM m_all WHERE code <> 0""",
     "daily_mae": f"SELECT strftime(day, '%Y-%m-%d') AS day, {big('n')}, {r('mae')} FROM y_daily",
     "mae_streak": f"""SELECT {big('(SELECT count(*) FROM y_daily)', 'n_days')}, {big('''coalesce((SELECT max(length) FROM (
@@ -859,22 +899,26 @@ FROM (VALUES (25e0), (27e0), (29e0), (100e0)) AS t(x)""",
   {big('latency_count')}, model_version FROM y_status""",
     "slo_check": f"""SELECT strftime(day, '%Y-%m-%d') AS day, {LOG_COLUMNS}, p95 > 200 OR error_rate >= 1e-2 AS broken
 FROM ({log_metrics("CAST(ts AS DATE) AS day")} FROM t_log GROUP BY 1)""",
-    "alert_rows": f"""SELECT q_requests.order_id, 'Invalid prediction request rejected' AS title,
-  substr(substr(reasons, 1, 700) || chr(10) || 'Payload: ' || substr(CAST(to_json(struct_pack(
+    "alert_rows": f"""SELECT q_requests.order_id, 'Request turned away' AS title,
+  substr(substr(reasons, 1, 700) || ' | sent: ' || substr(CAST(to_json(struct_pack(
     {', '.join(f'{c} := {c}' for c, *_ in RULES)})) AS VARCHAR), 1, 280), 1, 1000) AS detail
 FROM q_requests JOIN q_reasons ON q_requests.order_id = q_reasons.order_id
-UNION ALL SELECT NULL, 'API SLO breached',
-  printf('P95=%.1f ms (limit 200), error rate=%.2f%% (limit 1%%), requests=%d, rejected=%d, model v%s', p95,
-    100e0 * errors_total / requests_total, requests_total, rejected_total, model_version)
+UNION ALL SELECT NULL, 'Service outside its limits', {SLOW_DETAIL}
 FROM y_status WHERE p95 > 200 OR errors_total / requests_total::DOUBLE >= 1e-2""",
     "stream_quarantine": f"""SELECT 'accepted' AS sink, {big('count(*)', 'n')} FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)
 UNION ALL SELECT 'quarantine', count(*) FROM q_reasons UNION ALL SELECT 'alerts', count(*) FROM q_reasons
 UNION ALL SELECT "column" || ': ' || rule, count(*) FROM q_violations GROUP BY 1""",
     "stream_request_metrics": f"""SELECT {ts('day', 'window_start')}, {big('requests_total')}, {big('errors_total')},
-  {big('rejected_total')}, {r('error_rate')} FROM w_days""",
-    "stream_alerts": f"SELECT {ts('day', 'window_start')}, 'API SLO breached' AS title FROM w_days WHERE error_rate >= 1e-2",
+  {big('rejected_total')}, {r('error_rate')}, {r('p50')}, {r('p95')}, model_version FROM w_days""",
+    "stream_alerts": f"""SELECT {ts('day', 'window_start')}, 'Service outside its limits' AS title, {SLOW_DETAIL} AS detail
+FROM w_days WHERE p95 > 200 OR error_rate >= 1e-2""",
+    "stream_label_gaps": f"""SELECT {big('count(*)', 'n_labels')},
+  {big("count(*) - (SELECT count(*) FROM w_labels)", 'n_unjoined')}
+FROM t_orders WHERE order_delivered_customer_date IS NOT NULL""",
+    "stream_daily_mae_small_days": f"""SELECT strftime(CAST(order_purchase_timestamp AS DATE), '%Y-%m-%d') AS day,
+  {big('count(*)', 'n')}, {r('avg(abs(p - y))', 'mae')} FROM w_labels GROUP BY 1 HAVING count(*) >= 5""",
     "stream_daily_mae": f"""SELECT strftime(CAST(order_purchase_timestamp AS DATE), '%Y-%m-%d') AS day, {big('count(*)', 'n')},
-  {r('avg(abs(p - y))', 'mae')} FROM w_labels GROUP BY 1 HAVING count(*) >= 5""",
+  {r('avg(abs(p - y))', 'mae')} FROM w_labels GROUP BY 1 HAVING count(*) >= 30""",
 }
 
 ORACLE_SQL: dict[str, str] = {name: build(body) for name, body in BODIES.items()}

@@ -2,9 +2,10 @@
 
 ``percentile`` and ``median`` keep every distinct value of a group in one buffer, and a ranking
 window sorts a whole group in one task. Both break when a group is a third of the table. Here the
-values are counted first (the shuffle key is group and value, so a hot group spreads out), then the
-search narrows down: coarse bucket, fine bucket, value. A window only ever runs over the buckets of a
-group or over the distinct values of one fine bucket.
+search narrows down: coarse buckets are counted where the rows are read, and only rows of buckets that
+hold a rank are counted by value (the shuffle key is group and value, so a hot group spreads out), then
+placed by fine bucket and value. A window only ever runs over the buckets of a group or over the distinct
+values of one fine bucket.
 """
 
 from __future__ import annotations
@@ -44,17 +45,23 @@ def _before(column: str, keys: Sequence[str], order: str) -> str:
     return f"coalesce(sum(`{column}`) OVER ({partition} ORDER BY {order} {frame}), 0)"
 
 
+def values(df: DataFrame, value, by: Sequence[str] = (), weight: str = "1") -> DataFrame:
+    """One row per row of the table with its value and weight; nulls are left out."""
+    value = F.col(value) if isinstance(value, str) else value
+    return df.select(*by, value.alias("_v"), F.expr(f"CAST({weight} AS BIGINT) AS _c")).where("_v IS NOT NULL")
+
+
 def value_counts(df: DataFrame, value, by: Sequence[str] = (), weight: str = "1") -> DataFrame:
     """Distinct values per group with their number of rows; nulls are left out."""
-    value = F.col(value) if isinstance(value, str) else value
-    rows = df.select(*by, value.alias("_v"), F.expr(f"CAST({weight} AS BIGINT) AS _w")).where("_v IS NOT NULL")
-    return rows.groupBy(*by, "_v").agg(F.sum("_w").alias("_c"))
+    return values(df, value, by, weight).groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
 
 
 def hits(counts: DataFrame, ranks: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """The values at given 0-based ranks of every group.
 
-    ``counts`` comes from :func:`value_counts`; each rank is a SQL expression over the group columns and
+    ``counts`` comes from :func:`values`, or from :func:`value_counts` where counting first is worth a shuffle. The
+    coarse buckets are counted in the tasks that read the rows; only rows of a bucket that holds a rank go
+    further, counted by value. Each rank is a SQL expression over the group columns and
     ``_total``, the row count of the group. A result row is a value that lies at one rank at least:
     ``_r{i}`` is null unless it lies at rank i, and then the number of equal values before that rank.
     """
@@ -76,6 +83,8 @@ def hits(counts: DataFrame, ranks: Sequence[str], by: Sequence[str] = ()) -> Dat
     first = narrow(first, "_n", firsts, [*by, "_b", "_lo", "_hi", "_total"])
 
     near = match(coarse, first, [*by, "_b"]).selectExpr(*by, "_b", "_v", "_c", "_total", _FINE, *wanted)
+    same = [F.max(c).alias(c) for c in ["_total", *wanted]]
+    near = near.groupBy(*by, "_b", "_f", "_v").agg(F.sum("_c").alias("_c"), *same)
     second = near.groupBy(*by, "_b", "_f").agg(F.expr("sum(_c) AS _n"), *[F.expr(f"max({r}) AS {r}") for r in wanted])
     second = second.selectExpr("*", f"{_before('_n', [*by, '_b'], '_f')} AS _at")
     second = narrow(second, "_n", wanted, [*by, "_b", "_f"])
@@ -85,6 +94,16 @@ def hits(counts: DataFrame, ranks: Sequence[str], by: Sequence[str] = ()) -> Dat
     return narrow(last, "_c", wanted, [*by, "_v", "_total"])
 
 
+def smallest(df: DataFrame, n: int, by: Column, ties: Sequence[str]) -> DataFrame:
+    """The n rows with the smallest ``by`` (a long), of equals those first in ``ties``.
+
+    The n-th value is found from bucket counts, and rows beyond it are filtered where they are read, so
+    about n rows in all reach the final sort, however many tasks there are.
+    """
+    bound = locate(values(df, by), [f"least({int(n)}, _total) - 1"]).select("_v0").scalar()
+    return df.where(by.isNull() | (by <= bound)).orderBy(by.asc_nulls_last(), *ties).limit(n)
+
+
 def _at_rank(i: int, condition: str = "TRUE") -> str:
     return f"max(CASE WHEN _r{i} IS NOT NULL AND {condition} THEN _v END)"
 
@@ -113,7 +132,7 @@ def percentiles(
     df: DataFrame, value, probs: Mapping[str, float], by: Sequence[str] = (), weight: str = "1"
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one output column per entry of ``probs``."""
-    found = hits(value_counts(df, value, by, weight), _neighbours(list(probs.values())), by)
+    found = hits(values(df, value, by, weight), _neighbours(list(probs.values())), by)
     out = [F.expr(_interpolated(i, p)).alias(name) for i, (name, p) in enumerate(probs.items())]
     return found.groupBy(*by).agg(*out)
 
@@ -122,7 +141,7 @@ def medians(df: DataFrame, columns: Mapping[str, str], by: Sequence[str] = ()) -
     """Exact medians of several columns in one pass; ``columns`` maps source to output name."""
     cells = ", ".join(f"struct('{c}' AS _name, CAST(`{c}` AS DOUBLE) AS _value)" for c in columns)
     long = df.selectExpr(*by, f"inline(array({cells}))")
-    found = hits(value_counts(long, "_value", [*by, "_name"]), _neighbours([0.5]), [*by, "_name"])
+    found = hits(values(long, "_value", [*by, "_name"]), _neighbours([0.5]), [*by, "_name"])
     out = [F.expr(_interpolated(0, 0.5, f"_name = '{c}'")).alias(name) for c, name in columns.items()]
     return found.groupBy(*by).agg(*out)
 

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions.scalar import squeeze
 from parcelwise.operators.contract import is_valid, reasons
-from parcelwise.operators.drift import MAE_MARGIN, NO_DRIFT, PSI_LIMIT
+from parcelwise.operators.drift import NO_DRIFT, PSI_LIMIT
 from parcelwise.operators.service import SLO_ERROR_RATE, SLO_P95_MS
 
 # Fixed values.
 DETAIL_CHARS = 1000
 REASON_CHARS = 700
 PAYLOAD_CHARS = 280
-REJECTED_TITLE = "Invalid prediction request rejected"
-SLO_TITLE = "API SLO breached"
+REJECTED_TITLE = "Request turned away"
+SLO_TITLE = "Service outside its limits"
 
 
 def alert(title: Column, detail: Column) -> list[Column]:
@@ -24,27 +24,27 @@ def alert(title: Column, detail: Column) -> list[Column]:
 
 def drift_alerts(judged: DataFrame, name: str) -> DataFrame:
     """An alert for every verdict row that is not clean; input as made by ``drift.monitor``."""
-    retrain = F.when(F.col("retrain"), "yes").otherwise("not yet")
-    detail = F.concat(
-        F.col("psi_text"),
-        F.lit(f" (limit {PSI_LIMIT})\n"),
-        F.format_string(
-            f"MAE=%.2f days, limit %.2f (test MAE %.2f + {MAE_MARGIN:g}), %d consecutive days over the limit\n",
-            "mae", "mae_limit", "test_mae", "streak",
-        ),
-        F.lit("Retrain: "),
-        retrain,
-    )
-    title = F.concat(F.col("verdict"), F.lit(f" detected on {name}"))
+    advice = F.when(F.col("retrain"), "train a new model").otherwise("keep watching")
+    detail = F.concat_ws(
+        "; ",
+        F.concat(F.lit(f"inputs, drifted above {PSI_LIMIT}: "), F.col("psi_text")),
+        F.format_string("error %.2f days against %.2f in the test", *[F.round(c, 2) for c in ("mae", "test_mae")]),
+        F.format_string("allowed %.2f (%.2f more)", F.round("mae_limit", 2), "margin"),
+        F.format_string("days above that in a row: %d", "streak"),
+        advice,
+    )
+    title = F.concat(F.lit(f"{name}: "), F.lower("verdict"))
     return judged.where(F.col("code") != NO_DRIFT).select(*alert(title, detail))
 
 
 def slo_detail() -> Column:
-    return F.format_string(
-        f"P95=%.1f ms (limit {SLO_P95_MS}), error rate=%.2f%% (limit {SLO_ERROR_RATE:.0%}%), "
-        "requests=%d, rejected=%d, model v%s",
-        F.col("p95"), F.col("error_rate") * 100, F.col("requests_total"), F.col("rejected_total"), F.col("model_version"),
-    )
+    return F.concat_ws(
+        "; ",
+        F.format_string(f"95 of 100 answers within %.1f ms, allowed {SLO_P95_MS}", F.round("p95", 1)),
+        F.format_string(f"failed %.2f in 100, allowed less than {SLO_ERROR_RATE * 100:g}", F.round(F.col("error_rate") * 100, 2)),
+        F.format_string("%d requests, %d of them turned away", "requests_total", "rejected_total"),
+        F.concat(F.lit("model "), F.col("model_version")),
+    )
 
 
 def slo_alerts(judged: DataFrame, *keep: str) -> DataFrame:
@@ -58,7 +58,7 @@ def rejection_alerts(checked: DataFrame, *keep: str) -> DataFrame:
     ``contract.check(..., payload=True)``.
     """
     detail = F.concat(
-        F.substring(squeeze(reasons()), 1, REASON_CHARS), F.lit("\nPayload: "), F.substring("payload", 1, PAYLOAD_CHARS)
+        F.substring(squeeze(reasons()), 1, REASON_CHARS), F.lit(" | sent: "), F.substring("payload", 1, PAYLOAD_CHARS)
     )
     return checked.where(~is_valid()).select(*keep, *alert(F.lit(REJECTED_TITLE), detail))
 

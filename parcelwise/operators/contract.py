@@ -165,7 +165,8 @@ def require_valid(df: DataFrame, drop_missing_points: bool = True) -> DataFrame:
     checked = check(drop_unlocated(df) if drop_missing_points else df)
     verdict = table_verdict(checked).first()
     if not verdict["passes"]:
-        worst = violation_counts(checked).orderBy(F.desc("n_rows"), "column", "rule").limit(20).collect()
+        # At most one row per column and rule.
+        worst = violation_counts(checked).orderBy(F.desc("n_rows"), "column", "rule").collect()
         detail = "; ".join(f"{r['column']}: {r['rule']} in {r['n_rows']} rows" for r in worst)
         raise ContractError(f"{verdict['n_bad']} of {verdict['n_rows']} rows are bad: {detail}")
     return checked.drop("violations")

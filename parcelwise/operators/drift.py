@@ -26,18 +26,24 @@ NO_DRIFT, DATA_DRIFT, CONCEPT_DRIFT = 0, 2, 3
 EMPTY_SHARE = 1e-4
 
 
+def _cells(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Both tables in long form: rows of (ref, cur, column, _v), of which one of ref and cur is 1."""
+    cells = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS _v)" for c in columns)
+    side = lambda df, ref: df.selectExpr(f"{ref} AS ref", f"{1 - ref} AS cur", f"inline(array({cells}))")
+    return side(reference, 1).unionByName(side(current, 0)).where("_v IS NOT NULL AND NOT isnan(_v)")
+
+
+def _both_counts() -> list[Column]:
+    return [F.sum(F.col(c).cast("bigint")).alias(c) for c in ("ref", "cur")]
+
+
 def paired_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How often each value occurs in both tables: rows of (column, _v, ref, cur).
 
-    Both tests start from this. Rows are counted before the shuffle, and since the key is column and
+    The exact distance needs this. Rows are counted before the shuffle, and since the key is column and
     value no single task gets a whole column.
     """
-    cells = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS _v)" for c in columns)
-    side = lambda df, ref: df.selectExpr(f"{ref} AS ref", f"{1 - ref} AS cur", f"inline(array({cells}))")
-    rows = side(reference, 1).unionByName(side(current, 0)).where("_v IS NOT NULL AND NOT isnan(_v)")
-    return rows.groupBy("column", "_v").agg(
-        F.sum(F.col("ref").cast("bigint")).alias("ref"), F.sum(F.col("cur").cast("bigint")).alias("cur")
-    )
+    return _cells(reference, current, columns).groupBy("column", "_v").agg(*_both_counts())
 
 
 def _psi(bins: DataFrame) -> DataFrame:
@@ -56,21 +62,23 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
     ``sturges``: ceil(log2(n)) + 1 equal-width bins over the range of both tables. ``deciles``: bins cut
     at the exact deciles of the reference.
     """
-    counts = paired_counts(reference, current, columns)
+    # Two passes: the range, then counts per bin. What is shuffled is a row per bin and task, never one per value.
+    cells = _cells(reference, current, columns)
     if bins == "deciles":
         names = [f"d{i}" for i in range(1, 10)]
-        known = counts.where("ref > 0")
-        cuts = percentiles(known, "_v", {n: i / 10 for i, n in enumerate(names, 1)}, by=["column"], weight="ref")
+        cuts = percentiles(
+            cells.where("ref = 1"), "_v", {n: i / 10 for i, n in enumerate(names, 1)}, by=["column"]
+        )
         place = " + ".join(f"CAST(_v > {n} AS BIGINT)" for n in names)
-        placed = counts.join(F.broadcast(cuts), "column")
+        placed = cells.join(F.broadcast(cuts), "column")
     else:
-        ranges = counts.groupBy("column").agg(
-            F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.expr("ceil(log2(sum(ref + cur))) + 1 AS k")
+        ranges = cells.groupBy("column").agg(
+            F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.expr("ceil(log2(count(*))) + 1 AS k")
         )
         place = "CASE WHEN hi > lo THEN least(floor((_v - lo) / (hi - lo) * k), k - 1) ELSE 0 END"
-        placed = counts.join(F.broadcast(ranges), "column")
-    binned = placed.groupBy("column", F.expr(place).cast("bigint").alias("bin"))
-    return _psi(binned.agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
+        placed = cells.join(F.broadcast(ranges), "column")
+    binned = placed.groupBy("column", F.expr(place).cast("bigint").alias("bin")).agg(*_both_counts())
+    return _psi(binned)
 
 
 def ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -125,7 +133,7 @@ def longest_streak(daily: DataFrame, limit: Column | float) -> DataFrame:
 def concept_drift(test: DataFrame, current: DataFrame, margin: float = MAE_MARGIN) -> DataFrame:
     """One row: current error against the test error plus a margin. Both inputs carry predictions."""
     errors = current.agg(mae().alias("mae"), test.agg(mae()).scalar().alias("test_mae"))
-    limited = errors.withColumn("mae_limit", F.col("test_mae") + margin)
+    limited = errors.withColumns({"margin": F.lit(float(margin)), "mae_limit": F.col("test_mae") + float(margin)})
     return limited.withColumn("over_limit", F.coalesce(F.col("mae") > F.col("mae_limit"), F.lit(False)))
 
 

@@ -41,7 +41,7 @@ def train_median(split: DataFrame) -> Column:
 
 def median_mae(split: DataFrame) -> DataFrame:
     """Error of always guessing the training median, on validation and test rows."""
-    held_out = split.where(F.col("split") != "train").withColumn("prediction", train_median(split))
+    held_out = split.where(F.col("split").isin(VAL, TEST)).withColumn("prediction", train_median(split))
     return held_out.groupBy("split").agg(
         F.count("*").alias("n"), F.max("prediction").alias("median_days"), mae().alias("mae"), rmse().alias("rmse")
     )
@@ -79,16 +79,16 @@ def promotion_gate(maes: DataFrame) -> DataFrame:
         "improves_enough": old.isNull() | F.coalesce(new <= old * (1 - MIN_IMPROVEMENT), F.lit(False)),
     })
     fails = [
-        F.when(~F.col("beats_baseline"), F.format_string("MAE %.3f does not beat baseline %.3f", new, base)),
+        F.when(~F.col("beats_baseline"), F.format_string("error %.3f is not below the baseline's %.3f", new, base)),
         F.when(
             ~F.col("improves_enough"),
-            F.format_string(f"MAE %.3f not {MIN_IMPROVEMENT:.0%}% better than champion (%.3f)", new, old),
+            F.format_string(f"error %.3f is not {MIN_IMPROVEMENT * 100:g} in 100 below the current model's %.3f", new, old),
         ),
     ]
     passed = F.col("beats_baseline") & F.col("improves_enough")
     if "p95_ms" in maes.columns:
         slow = F.col("p95_ms") >= GATE_MAX_P95_MS
-        fails.insert(1, F.when(slow, F.format_string(f"p95 %.1f ms >= {GATE_MAX_P95_MS} ms", F.col("p95_ms"))))
+        fails.insert(1, F.when(slow, F.format_string(f"answers take %.1f ms, allowed less than {GATE_MAX_P95_MS}", F.col("p95_ms"))))
         passed = passed & F.coalesce(~slow, F.lit(False))
     return checked.withColumns({"promoted": passed, "reasons": F.concat_ws("; ", *fails)})
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.functions.order_stats import match, medians, percentiles
+from parcelwise.functions.order_stats import match, medians, percentiles, smallest
 from parcelwise.functions.scalar import hash_key, holds, item_group, late_bin_label, right_closed_bin, satisfaction
 from parcelwise.session import cut_lineage
 
@@ -144,7 +144,9 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Row count and an order-free checksum of a table; one map-side pass, nothing but two numbers move."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    # Every cell is its length and its text, so no two rows read alike; a null has no length.
+    text = [F.col(c).cast("string") for c in df.columns]
+    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
     digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
     return df.agg(
         F.lit(name).alias("table_name"),
@@ -161,7 +163,7 @@ def repeat_customers(customers: DataFrame, n: int = 10) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """A repeatable sample of exactly n rows: the n smallest of a seeded hash of the key."""
-    return df.orderBy(hash_key(key, seed=seed), key).limit(n)
+    return smallest(df, n, hash_key(key, seed=seed), [key])
 
 
 def satisfaction_shares(orders: DataFrame) -> DataFrame:

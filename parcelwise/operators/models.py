@@ -35,6 +35,8 @@ def encoder_stages() -> list:
 def median_stage(train: DataFrame) -> SQLTransformer:
     """Always predicts the exact median of the training target."""
     found = percentiles(train, TARGET, {"median": 0.5}).first()
+    if found is None or found["median"] is None:
+        raise ValueError("the training table has no row with a target")
     return SQLTransformer(statement=f"SELECT *, {found['median']!r}D AS prediction FROM __THIS__")
 
 
@@ -112,7 +114,7 @@ def score(model: PipelineModel, rows: DataFrame, version: str, keep: Sequence[st
 
 def predict_all(models: dict[str, PipelineModel], split: DataFrame) -> DataFrame:
     """Validation and test predictions of every model as one long table."""
-    held_out = split.where(F.col("split") != "train")
+    held_out = split.where(F.col("split").isin("val", "test"))
     parts = []
     for name, model in models.items():
         scored = model.transform(add_features(held_out))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.functions.order_stats import match, percentiles
+from parcelwise.functions.order_stats import match, percentiles, smallest
 from parcelwise.functions.scalar import request_class
 
 # Fixed values.
@@ -19,7 +19,7 @@ LATENCY_PROBS = {"p50": 0.5, "p95": 0.95}
 
 def last_requests(log: DataFrame, n: int = LATENCY_WINDOW) -> DataFrame:
     """The latest n requests; of the same moment the higher event id is later."""
-    return log.orderBy(F.desc("ts"), F.desc("event_id")).limit(n)
+    return smallest(log, n, -F.unix_micros("ts"), [F.desc("event_id")])
 
 
 def counters() -> list[Column]:

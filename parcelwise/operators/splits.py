@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.functions.order_stats import locate, value_counts
+from parcelwise.functions.order_stats import locate, values
 from parcelwise.functions.scalar import hash_key
 
 # Fixed values.
@@ -14,6 +14,8 @@ TRAIN_AND_VAL_SHARE = 0.85
 NORTH_STATES = ["AC", "AP", "AM", "PA", "RO", "RR", "TO"]
 SALE_WEEK = ("2017-11-20", "2017-11-27")
 SEED = 42
+# The side of rows that have no time or no group.
+UNPLACED = "unplaced"
 
 
 def time_cuts(
@@ -25,7 +27,7 @@ def time_cuts(
     so the split itself is a plain filter on the table and the wide rows are never sorted or shuffled.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    found = locate(value_counts(df, micros), [f"floor(_total * {float(s)!r}D)" for s in shares]).first()
+    found = locate(values(df, micros), [f"floor(_total * {float(s)!r}D)" for s in shares]).first()
     moments = [found[f"_v{i}"] if found else None for i in range(len(shares))]
     known = [(i, m, found[f"_skip{i}"]) for i, m in enumerate(moments) if m is not None]
     cuts: list[tuple[int, int] | None] = [None] * len(shares)  # None: the share covers every row
@@ -33,7 +35,7 @@ def time_cuts(
         return cuts
     same = df.select(micros.alias("_m"), hash_key(key).alias("_key")).where(F.col("_m").isin([m for _, m, _ in known]))
     ranks = [f"CASE WHEN _m = {m} THEN {skip} END" for _, m, skip in known]
-    ties = {r["_m"]: r for r in locate(value_counts(same, "_key", ["_m"]), ranks, ["_m"]).collect()}
+    ties = {r["_m"]: r for r in locate(values(same, "_key", ["_m"]), ranks, ["_m"]).collect()}
     for j, (i, moment, _) in enumerate(known):
         cuts[i] = (moment, ties[moment][f"_v{j}"])
     return cuts
@@ -55,15 +57,18 @@ def split_label(cuts, ts: str = "order_purchase_timestamp", key: str = "order_id
 
 
 def time_split(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "order_id") -> DataFrame:
-    """Add ``split``: the first 70 % by purchase time train, the next 15 % validate, the rest test."""
-    known = df.where(F.col(ts).isNotNull())
-    return known.withColumn("split", split_label(time_cuts(known, ts=ts, key=key), ts, key))
+    """Add ``split``: the first 70 % by purchase time train, the next 15 % validate, the rest test.
+
+    Rows without a time cannot be placed; they stay, as ``unplaced``.
+    """
+    cuts = time_cuts(df.where(F.col(ts).isNotNull()), ts=ts, key=key)
+    return df.withColumn("split", F.when(F.col(ts).isNull(), UNPLACED).otherwise(split_label(cuts, ts, key)))
 
 
 def time_parts(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "order_id") -> dict[str, DataFrame]:
-    """The three parts of :func:`time_split` as tables of their own.
+    """The parts of :func:`time_split` as tables of their own, ``unplaced`` among them.
 
-    Each one carries plain bounds on the purchase time, which the scan can use to skip row groups.
+    Each of the three others carries plain bounds on the purchase time, which the scan can use to skip row groups.
     """
     known = df.where(F.col(ts).isNotNull())
     cuts = time_cuts(known, ts=ts, key=key)
@@ -78,19 +83,22 @@ def time_parts(df: DataFrame, ts: str = "order_purchase_timestamp", key: str = "
         if stop is not None:
             part = part.where(at <= F.timestamp_micros(F.lit(stop[0])))
         parts[name] = part.where(label == name).withColumn("split", F.lit(name))
+    parts[UNPLACED] = df.where(F.col(ts).isNull()).withColumn("split", F.lit(UNPLACED))
     return parts
 
 
 def group_split(df: DataFrame, group: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``split`` so that all rows of a group are on one side: a share of the groups, rounded up, tests.
 
-    The groups are put in hash order, and the hash of the last test group is the cut.
+    The groups are put in hash order, and the hash of the last test group is the cut. Rows without a group
+    stay, as ``unplaced``.
     """
     order = hash_key(group, seed=seed)
     groups = df.select(group).where(F.col(group).isNotNull()).distinct()
-    last = locate(value_counts(groups, order), [f"ceil(_total * {float(test_share)!r}D) - 1"])
+    last = locate(values(groups, order), [f"ceil(_total * {float(test_share)!r}D) - 1"])
     cut = last.select("_v0").scalar()
-    return df.where(F.col(group).isNotNull()).withColumn("split", F.when(order <= cut, "test").otherwise("train"))
+    side = F.when(F.col(group).isNull(), UNPLACED).when(order <= cut, "test").otherwise("train")
+    return df.withColumn("split", side)
 
 
 def split_overlap(split: DataFrame, group: str) -> DataFrame:

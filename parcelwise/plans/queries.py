@@ -314,10 +314,9 @@ def profile_tables(spark, folder):
 
 @query
 def profile_columns(spark, folder):
-    tables = _raw(spark, folder, "orders", "customers", "products")
     parts = [
         explore.profile_columns(df).withColumn("table_name", F.lit(name))
-        for name, df in zip(("orders", "customers", "products"), tables)
+        for name, df in standins.raw_tables(spark, folder).items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -339,8 +338,12 @@ def describe_numeric_approx(spark, folder):
 
 @query
 def describe_text(spark, folder):
-    (people,) = _raw(spark, folder, "customers")
-    return explore.describe_text(people, ["customer_zip_code_prefix", "customer_city", "customer_state"])
+    parts = []
+    for name, df in standins.raw_tables(spark, folder).items():
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        if columns:
+            parts.append(explore.describe_text(df, columns).withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -373,9 +376,19 @@ def repeat_customers(spark, folder):
 
 @query
 def dataset_fingerprint(spark, folder):
-    people, goods = _raw(spark, folder, "customers", "products")
-    whole = goods.select("product_id", "product_category_name", "product_name_lenght", "product_photos_qty")
-    return explore.fingerprint(people, "customers").unionByName(explore.fingerprint(whole, "products"))
+    """All columns of all tables, numbers in fixed notation and times in one format."""
+    parts = []
+    for name, df in standins.raw_tables(spark, folder).items():
+        cells = []
+        for f in df.schema.fields:
+            value = F.col(f.name)
+            if isinstance(f.dataType, T.DoubleType):
+                value = F.format_string("%.4f", value)
+            elif isinstance(f.dataType, T.TimestampType):
+                value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+            cells.append(F.when(F.col(f.name).isNotNull(), value.cast("string")).alias(f.name))
+        parts.append(explore.fingerprint(df.select(*cells), name))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -405,11 +418,23 @@ def score_by_late_bin(spark, folder):
 
 @query
 def monthly_pivot(spark, folder):
-    return explore.monthly_payment_types(_cleaned(spark, folder), PAYMENT_TYPES, min_orders=10)
+    return explore.monthly_payment_types(_cleaned(spark, folder), PAYMENT_TYPES)
 
 
 @query
 def monthly_orders(spark, folder):
+    return explore.monthly_orders(_cleaned(spark, folder))
+
+
+@query
+def monthly_pivot_thin(spark, folder):
+    """The same with months of ten orders kept."""
+    return explore.monthly_payment_types(_cleaned(spark, folder), PAYMENT_TYPES, min_orders=10)
+
+
+@query
+def monthly_orders_thin(spark, folder):
+    """The same with months of fifty orders kept."""
     return explore.monthly_orders(_cleaned(spark, folder), min_orders=50)
 
 
@@ -521,7 +546,7 @@ def baseline_median_mae(spark, folder):
 def _simple_predictions(spark, folder) -> DataFrame:
     """Three predictors that need no fit, as a long table like that of the fitted candidates."""
     split = _split(spark, folder)
-    held_out = split.where("split <> 'train'").withColumn("m", evaluate.train_median(split))
+    held_out = split.where("split IN ('val', 'test')").withColumn("m", evaluate.train_median(split))
     cells = F.array(
         F.struct(F.lit("median").alias("model"), F.col("m").alias("prediction")),
         F.struct(F.lit("estimate").alias("model"), F.col("estimated_delivery_days").cast("double").alias("prediction")),
@@ -569,8 +594,8 @@ def arrivals_by_state_day(spark, folder):
 
 
 def _model_rows(spark, folder) -> DataFrame:
-    split = _split(spark, folder)
-    checked = contract.check(split).where(contract.is_valid())
+    """The split order table, once the whole of it holds the contract; a bad row stops the job."""
+    checked = contract.require_valid(_split(spark, folder))
     return contract.contract_only(checked, keep=("order_id", "split", TARGET))
 
 
@@ -636,7 +661,8 @@ def drift_report_all_columns(spark, folder):
     return drift.drift_report(*_drift_sides(spark, folder), deciding=DRIFT_COLUMNS, info=[])
 
 
-def _monitored(spark, folder) -> dict[str, DataFrame]:
+def _monitored(spark, folder, min_orders: int = drift.MIN_ORDERS_PER_DAY, margin: float = drift.MAE_MARGIN) -> dict[str, DataFrame]:
+    """Verdicts on four tables: a plain sample, other places, a sale week, and a season with slower delivery."""
     parts = _parts(spark, folder)
     median = evaluate.train_median(parts["train"])
     guessed = _located(spark, folder).withColumn("prediction", median)
@@ -645,8 +671,9 @@ def _monitored(spark, folder) -> dict[str, DataFrame]:
         "normal": explore.sample_rows(test, 500, "order_id"),
         "north": splits.north_orders(guessed),
         "sale_week": splits.sale_week_orders(guessed, *SALE_WEEK),
+        "december": guessed.where(F.month("order_purchase_timestamp") == 12),
     }
-    return {name: drift.monitor(parts["train"], df, test, min_orders=2, margin=0.5) for name, df in currents.items()}
+    return {n: drift.monitor(parts["train"], df, test, min_orders=min_orders, margin=margin) for n, df in currents.items()}
 
 
 @query
@@ -663,6 +690,13 @@ def drift_verdict(spark, folder):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query
+def drift_verdict_small_days(spark, folder):
+    """The same verdicts with days of two orders judged and half a day of margin, so that streaks show on little data."""
+    found = _monitored(spark, folder, min_orders=2, margin=0.5)
+    return reduce(DataFrame.unionByName, [df.withColumn("name", F.lit(name)) for name, df in found.items()])
+
+
 @query
 def drift_alerts(spark, folder):
     return reduce(DataFrame.unionByName, [alerts.drift_alerts(df, n) for n, df in _monitored(spark, folder).items()])
@@ -754,19 +788,36 @@ def stream_request_metrics(spark, folder):
     """Closed daily windows only: the newest one is still open when the input ends."""
     out = new_path(spark, "windows")
     jobs.request_metrics(_log_stream(spark, folder), out, f"{out}-state").awaitTermination()
-    return spark.read.parquet(out).select("window_start", "requests_total", "errors_total", "rejected_total", "error_rate")
+    return spark.read.parquet(out)
 
 
 @query
 def stream_alerts(spark, folder):
     out = new_path(spark, "stream-alerts")
     jobs.alerts(_log_stream(spark, folder), out, f"{out}-state").awaitTermination()
-    return spark.read.parquet(out).select("window_start", "title")
+    return spark.read.parquet(out).select("window_start", "title", "detail")
 
 
 @query
 def stream_daily_mae(spark, folder):
     """Predictions joined with the deliveries that follow within the bound, then the error per day."""
+    return drift.daily_mae(_labelled_stream(spark, folder)[0])
+
+
+@query
+def stream_daily_mae_small_days(spark, folder):
+    """The same with days of five orders judged."""
+    return drift.daily_mae(_labelled_stream(spark, folder)[0], min_orders=5)
+
+
+@query
+def stream_label_gaps(spark, folder):
+    """How many deliveries were reported, and how many met no prediction within the bound."""
+    return jobs.unjoined_labels(*reversed(_labelled_stream(spark, folder)))
+
+
+def _labelled_stream(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """What the stream has joined, and all labels that were reported."""
     heads = standins.as_orders(jobs.read_parquet_stream(spark, folder, "orders"))
     made = heads.select(
         "order_id",
@@ -781,4 +832,5 @@ def stream_daily_mae(spark, folder):
     )
     out = new_path(spark, "labelled")
     jobs.labelled(made, arrived, out, f"{out}-state").awaitTermination()
-    return drift.daily_mae(spark.read.parquet(out), min_orders=5)
+    (reported,) = _raw(spark, folder, "orders")
+    return spark.read.parquet(out), reported.where("order_delivered_customer_date IS NOT NULL").select("order_id")

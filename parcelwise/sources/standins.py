@@ -95,7 +95,6 @@ def order_payments(spark: SparkSession, folder: str) -> DataFrame:
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return (
         _scan(spark, folder, "lineitem")
-        .where("l_linenumber <= 4")
         .select(
             F.col("l_suppkey").alias("review_id"),
             F.col("l_orderkey").alias("order_id"),

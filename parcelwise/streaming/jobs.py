@@ -6,6 +6,8 @@ one owns a checkpoint folder, so a restart goes on where it stopped.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +21,33 @@ from parcelwise.operators.service import counters, error_rate, slo_check
 # Deliveries may be reported this long after the purchase; later ones are counted, not joined.
 LABEL_BOUND_DAYS = 60
 LATENESS = "1 hour"
+# Bounds a batch when a backlog is read; files come in the order of their modification.
+FILES_PER_BATCH = 1000
 WINDOW = "1 day"
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A folder of Parquet files of one table as a stream; new files are new input."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    """One table, a file or a folder of files, as a stream; new files in the folder are new input."""
+    path = f"{folder}/{name}.parquet"
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+        # A stream reads folders; the name picks this file.
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return reader.parquet(path)
 
 
 def read_json_stream(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """Order records as JSON lines, all fields as text."""
     schema = ", ".join(f"`{f}` string" for f in fields)
-    return spark.readStream.schema(schema).json(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).json(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows of a finished run came after the watermark and were left out."""
+    batches = [json.loads(p.json) for p in query.recentProgress]
+    return sum(op.get("numRowsDroppedByWatermark", 0) for b in batches for op in b.get("stateOperators", []))
 
 
 def _start(df: DataFrame, checkpoint: str, path: str) -> StreamingQuery:

@@ -24,33 +24,44 @@ def records(spark, rows):
     )
 
 
-def rules(spark, **change):
-    row = check(records(spark, [{**GOOD, **change}])).first()
-    return [(v["column"], v["rule"]) for v in row["violations"]]
-
-
-CASES = {
-    "good_normal": ({}, None),
-    "bad_missing_customer_lat": ({"customer_lat": ...}, "required"),
-    "bad_negative_weight": ({"total_weight_g": -5.0}, "range"),
-    "bad_outside_box": ({"customer_lat": 40.0}, "range"),
-    "bad_state_xx": ({"customer_state": "XX"}, "membership"),
-    "bad_wrong_type": ({"n_items": "abc"}, "coercion"),
-    "null_latitude": ({"customer_lat": None}, "required"),
-}
-
-
-@pytest.mark.parametrize("case", CASES)
-def test_golden_records_as_json(spark, tmp_path, case):
-    change, rule = CASES[case]
-    row = {k: v for k, v in {**GOOD, **change}.items() if v is not ...}
-    (tmp_path / "order.json").write_text(json.dumps(row, indent=1))
-    checked = check(read_order_json(spark, str(tmp_path / "order.json"), CONTRACT_COLUMNS))
-    accepted, rejected = route(checked)
-    assert (accepted.count(), rejected.count()) == ((1, 0) if rule is None else (0, 1))
-    if rule:
-        (found,) = rejected.first()["violations"]
-        assert (found["column"], found["rule"]) == (next(iter(change)), rule)
+def rules(spark, **values):
+    """The rules that a record with these values breaks."""
+    return [(v["column"], v["rule"]) for v in check(records(spark, [order(**values)])).first()["violations"]]
+
+
+def order(lacks=(), **values):
+    """A record as it is sent: a good one with other values, and without some fields."""
+    record = dict(GOOD)
+    record.update(values)
+    return {name: record[name] for name in record if name not in lacks}
+
+
+# The rule that each kind of bad record breaks, and in which column.
+BAD_RECORDS = [
+    ("no latitude", order(lacks=["customer_lat"]), "customer_lat", "required"),
+    ("null latitude", order(customer_lat=None), "customer_lat", "required"),
+    ("weight below zero", order(total_weight_g=-5.0), "total_weight_g", "range"),
+    ("outside the box", order(customer_lat=40.0), "customer_lat", "range"),
+    ("no such state", order(customer_state="XX"), "customer_state", "membership"),
+    ("text for a number", order(n_items="abc"), "n_items", "coercion"),
+]
+
+
+def checked_json(spark, folder, record):
+    (folder / "order.json").write_text(json.dumps(record, indent=1))
+    return route(check(read_order_json(spark, str(folder / "order.json"), CONTRACT_COLUMNS)))
+
+
+def test_a_good_record_is_accepted(spark, tmp_path):
+    accepted, rejected = checked_json(spark, tmp_path, order())
+    assert (accepted.count(), rejected.count()) == (1, 0)
+
+
+@pytest.mark.parametrize("name, record, column, rule", BAD_RECORDS, ids=[r[0] for r in BAD_RECORDS])
+def test_a_bad_record_is_turned_away(spark, tmp_path, name, record, column, rule):
+    accepted, rejected = checked_json(spark, tmp_path, record)
+    assert accepted.count() == 0
+    assert [(v["column"], v["rule"]) for r in rejected.collect() for v in r["violations"]] == [(column, rule)]
 
 
 EDGES = [

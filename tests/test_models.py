@@ -70,3 +70,21 @@ def test_predictions_are_never_negative(rows, fitted):
 def test_median_model_predicts_the_exact_median(rows, fitted):
     expected = rows.where("split = 'train'").agg(F.median(TARGET)).first()[0]
     assert {r["prediction"] for r in models.score(fitted["median"], rows, "1").collect()} == {expected}
+
+
+def test_a_bad_table_stops_training(spark, small, monkeypatch):
+    """One bad row in the order table ends the job before a model is fitted."""
+    from parcelwise.operators.contract import ContractError
+    from parcelwise.plans import queries
+
+    good = queries.stored_order_table(spark, small)
+    bad = good.withColumn("n_items", F.when(F.col("order_id") == good.first()["order_id"], 0).otherwise(F.col("n_items")))
+    monkeypatch.setattr(queries, "stored_order_table", lambda *_: bad)
+    with pytest.raises(ContractError, match="n_items: range"):
+        queries.QUERIES["model_compare"](spark, small)
+
+
+def test_an_empty_training_table_is_an_error(spark):
+    empty = spark.createDataFrame([], "delivery_days double")
+    with pytest.raises(ValueError, match="no row with a target"):
+        models.median_stage(empty)

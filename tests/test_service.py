@@ -49,9 +49,10 @@ def test_service_levels(spark, p95, errors, broken):
     assert judged.first()["broken"] is broken
     if broken:
         found = alerts.slo_alerts(judged).first()
-        assert found["title"] == "API SLO breached"
+        assert found["title"] == alerts.SLO_TITLE
         assert found["detail"] == (
-            f"P95={p95:.1f} ms (limit 200), error rate={errors:.2f}% (limit 1%), requests=100, rejected=3, model v7"
+            f"95 of 100 answers within {p95:.1f} ms, allowed 200; failed {errors:.2f} in 100, allowed less than 1; "
+            "100 requests, 3 of them turned away; model 7"
         )
 
 
@@ -59,22 +60,23 @@ def test_rejection_alert_is_cut(spark):
     rows = [{**GOOD, "customer_state": "X" * 5000}, GOOD, {**GOOD, "n_items": "abc"}]
     checked = contract.check(records(spark, rows), payload=True)
     long, short = alerts.rejection_alerts(checked).orderBy(F.length("detail").desc()).collect()
-    assert len(long["detail"]) == 700 + len("\nPayload: ") + 280
-    assert short["title"] == "Invalid prediction request rejected"
-    assert short["detail"].startswith('n_items: coercion (abc)\nPayload: {"customer_state":"SP"')
+    assert len(long["detail"]) == 700 + len(" | sent: ") + 280
+    assert short["title"] == alerts.REJECTED_TITLE
+    assert short["detail"].startswith('n_items: coercion (abc) | sent: {"customer_state":"SP"')
 
 
-def test_drift_alert_text(spark):
+def test_drift_alert_states_the_margin_it_was_judged_by(spark):
     judged = spark.createDataFrame(
-        [("total_weight_g PSI=0.008, distance_km PSI=6.937", 6.971, 5.389, 3.389, 0, 2, "Data Drift", True),
-         ("-", 3.0, 5.389, 3.389, 0, 0, "no drift", False)],
-        "psi_text string, mae double, mae_limit double, test_mae double, streak bigint, code int, verdict string, retrain boolean",
+        [("total_weight_g PSI=0.008, distance_km PSI=6.937", 6.971, 3.889, 0.5, 3.389, 0, 2, "Data Drift", True),
+         ("-", 3.0, 5.389, 2.0, 3.389, 0, 0, "no drift", False)],
+        "psi_text string, mae double, mae_limit double, margin double, test_mae double, streak bigint, code int,"
+        " verdict string, retrain boolean",
     )
     (row,) = alerts.drift_alerts(judged, "north").collect()
-    assert row["title"] == "Data Drift detected on north"
+    assert row["title"] == "north: data drift"
     assert row["detail"] == (
-        "total_weight_g PSI=0.008, distance_km PSI=6.937 (limit 0.2)\n"
-        "MAE=6.97 days, limit 5.39 (test MAE 3.39 + 2), 0 consecutive days over the limit\nRetrain: yes"
+        "inputs, drifted above 0.2: total_weight_g PSI=0.008, distance_km PSI=6.937; "
+        "error 6.97 days against 3.39 in the test; allowed 3.89 (0.50 more); days above that in a row: 0; train a new model"
     )
 
 

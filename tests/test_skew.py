@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from parcelwise.functions.order_stats import percentiles
 from parcelwise.operators import lookups, orders
 
 
@@ -62,3 +63,16 @@ def test_hot_order_of_items_is_split(spark):
         assert "skew=true" in per_order._jdf.queryExecution().executedPlan().toString()
     finally:
         with_settings(spark, old)
+
+
+def test_percentiles_of_a_hot_group(spark):
+    """A third of all rows in one group: only rows in buckets that hold a rank are counted by value."""
+    df = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1000).alias("zip"),
+        F.pmod(F.col("id") * 7919, F.lit(100_003)).cast("double").alias("x"),
+    )
+    got = {r["zip"]: (r["m"], r["p"]) for r in percentiles(df, "x", {"m": 0.5, "p": 0.95}, ["zip"]).collect()}
+    rows = df.groupBy("zip").agg(F.percentile("x", 0.5).alias("m"), F.percentile("x", 0.95).alias("p")).collect()
+    want = {r["zip"]: (r["m"], r["p"]) for r in rows}
+    assert len(got) == len(want) == 1001
+    assert all(abs(got[k][i] - want[k][i]) < 1e-9 for k in want for i in (0, 1))

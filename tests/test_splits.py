@@ -44,7 +44,9 @@ def test_time_filters_reach_the_scan(spark, tmp_path):
     _, df = orders(spark, 50, lambda i: i)
     df.write.parquet(str(tmp_path / "t"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # print all pushed filters
-    for name, part in splits.time_parts(spark.read.parquet(str(tmp_path / "t"))).items():
+    parts = splits.time_parts(spark.read.parquet(str(tmp_path / "t")))
+    for name in ("train", "val", "test"):
+        part = parts[name]
         plan = part._jdf.queryExecution().executedPlan().toString()
         pushed = plan.split("PushedFilters: [")[1].split("]")[0]
         assert ("LessThan" in pushed) == (name != "test")
@@ -78,3 +80,23 @@ def test_sale_week_includes_both_days(spark):
     rows = [("a", "2017-11-19 23:59:59"), ("b", "2017-11-20 00:00:00"), ("c", "2017-11-27 23:59:59"), ("d", "2017-11-28 00:00:00")]
     df = spark.createDataFrame(rows, "id string, t string").withColumn("order_purchase_timestamp", F.to_timestamp("t"))
     assert [r["id"] for r in splits.sale_week_orders(df).orderBy("id").collect()] == ["b", "c"]
+
+
+def test_rows_that_cannot_be_placed_stay(spark):
+    rows = [("a", datetime(2018, 1, 1), 1), ("b", None, None), ("c", datetime(2018, 1, 2), 2)]
+    df = spark.createDataFrame(rows, "order_id string, order_purchase_timestamp timestamp, person bigint")
+    by_time = {r["order_id"]: r["split"] for r in splits.time_split(df).collect()}
+    assert by_time["b"] == splits.UNPLACED and len(by_time) == 3
+    assert [r["order_id"] for r in splits.time_parts(df)[splits.UNPLACED].collect()] == ["b"]
+    by_person = {r["order_id"]: r["split"] for r in splits.group_split(df, "person").collect()}
+    assert by_person["b"] == splits.UNPLACED and len(by_person) == 3
+
+
+def test_only_about_n_rows_reach_the_limit(spark):
+    """The bound found from bucket counts filters the rows in the tasks that read them."""
+    df = spark.range(0, 100_000, 1, 50).withColumnRenamed("id", "order_id")
+    sample = explore.sample_rows(df, 50, "order_id")
+    rows = sample.collect()
+    assert {r["order_id"] for r in rows} == set(sorted(range(100_000), key=place)[:50])
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan

@@ -6,10 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.operators import contract, service
+from parcelwise.operators import alerts, contract, service
 from parcelwise.operators.contract import CONTRACT_COLUMNS
 from parcelwise.streaming import jobs
-from tests.test_contract import CASES, GOOD
+from tests.test_contract import BAD_RECORDS, GOOD
 from tests.test_service import SCHEMA
 
 T0 = datetime(2024, 1, 1)
@@ -21,7 +21,7 @@ def write_lines(folder, name, rows):
 
 
 def test_quarantine_routes_and_goes_on_after_a_restart(spark, tmp_path):
-    rows = [{k: v for k, v in {**GOOD, **change}.items() if v is not ...} for change, _ in CASES.values()]
+    rows = [GOOD, *[record for _, record, _, _ in BAD_RECORDS]]
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     write_lines(source, "a.json", rows)
     run = lambda: jobs.quarantine(
@@ -72,7 +72,7 @@ def test_alerts_for_broken_windows(spark, tmp_path):
     _, stream = events(spark, tmp_path, 1)
     jobs.alerts(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert len(got) == 5 and {r["title"] for r in got} == {"API SLO breached"}
+    assert len(got) == 5 and {r["title"] for r in got} == {alerts.SLO_TITLE}
 
 
 def test_late_labels_are_counted_not_joined(spark, tmp_path):
@@ -107,3 +107,22 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     got = {int(r["order_id"]): r["prediction"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {r["order_id"]: r["prediction"] for r in models.score(model, contract.check(rows), "3").collect()}
     assert got == pytest.approx(want)
+
+
+def test_a_file_and_a_folder_of_files_stream_alike(spark, tmp_path):
+    rows = [(T0 + timedelta(minutes=20 * i), i, 200, float(i % 90), "1") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.repartition(4).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one-part"))
+    (tmp_path / "one").mkdir()
+    (part,) = (tmp_path / "one-part").glob("part-*.parquet")
+    part.rename(tmp_path / "one" / "events.parquet")
+    found = []
+    for name in ("many", "one"):
+        out = str(tmp_path / f"{name}-out")
+        stream = jobs.read_parquet_stream(spark, str(tmp_path / name), "events")
+        query = jobs.request_metrics(stream, out, f"{out}-state")
+        query.awaitTermination()
+        assert jobs.late_rows(query) == 0
+        found.append(sorted(map(tuple, spark.read.parquet(out).collect())))
+    assert found[0] == found[1] and len(found[0]) == 4
