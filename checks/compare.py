@@ -14,6 +14,8 @@ from checks.oracle import ORACLE_SQL
 from parcelwise.plans.queries import QUERIES
 from parcelwise.session import local_session
 
+# No query may need one of these, in the plan that ran.
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"]
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
@@ -38,6 +40,10 @@ def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
     got = QUERIES[name](spark, folder)
     names, rows = rows_of(got.columns, got.collect())
     took = time.time() - started
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    bad = [word for word in FORBIDDEN if word in plan]
+    if bad:
+        return False, f"the plan that ran has {bad}"
     if name not in ORACLE_SQL:
         return True, f"{len(rows)} rows, no SQL, {took:.1f}s"
     cursor = con.execute(ORACLE_SQL[name])

