@@ -57,7 +57,8 @@ def codewords(size: int) -> np.ndarray:
     if size <= 7:
         return np.array([[(bits >> (size - 1 - i)) & 1 for bits in range(1, 2 ** (size - 1))] for i in range(size)])
     draw = random.Random(size)
-    wanted = 15 * math.ceil(math.log2(size))
+    # Of few languages there are not so many ways to take half.
+    wanted = min(15 * math.ceil(math.log2(size)), math.comb(size, size // 2) // 2 * 3 // 4)
     bits: list[tuple[int, ...]] = []
     seen: set[tuple[int, ...]] = set()
     while len(bits) < wanted:
