@@ -16,10 +16,12 @@ token is unknown; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import compress, repeat
+from math import exp, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from parcelwise.llm.common import TO_LOWER, pieces, share, shared, text_key, texts
 from parcelwise.session import cut_lineage
 
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 FREQUENT_BYTES = 48
 # Words a task counts before it hands them on.
 COUNTED = 300_000
@@ -77,63 +79,70 @@ class Lattice:
         """Log probability of a character in byte pieces."""
         return sum(self.logs[chr(0xE000 + b)] for b in char.encode("utf-8", "replace"))
 
-    def arcs(self, text: str) -> list[list[tuple[int, float]]]:
-        """For every position the pieces that start there, as (end, log probability)."""
-        steps, size, out = self.steps, len(text), []
+    def forward(self, text: str) -> tuple[list[float], list[tuple[int, int, float]]]:
+        """Log of the summed probability of reaching each position, and the pieces as (start, stop, log probability)
+        in order of their starts."""
+        steps, size = self.steps, len(text)
+        reached: list[float | None] = [None] * (size + 1)
+        reached[0] = 0.0
+        arcs = []
         for start in range(size):
-            own = []
-            for stop in range(start + 1, size + 1):
+            here = reached[start]
+            stop = start + 1
+            log = steps.get(text[start:stop], False)
+            if log is False or log is None:  # no piece of one character
+                arcs.append((start, stop, self.spelled(text[start])))
+                known = log is None
+            else:
+                arcs.append((start, stop, log))
+                known = True
+            while known and stop < size:
+                stop += 1
                 log = steps.get(text[start:stop], False)
                 if log is False:
                     break
                 if log is not None:
-                    own.append((stop, log))
-            if not own or own[0][0] != start + 1:
-                own.insert(0, (start + 1, self.spelled(text[start])))
-            out.append(own)
-        return out
-
-    @staticmethod
-    def forward(arcs: list[list[tuple[int, float]]]) -> list[float]:
-        """Log of the summed probability of reaching each position."""
-        into: list[list[float]] = [[] for _ in range(len(arcs) + 1)]
-        into[0].append(0.0)
-        reached = []
-        for start in range(len(arcs) + 1):
-            logs = into[start]
-            into[start] = []
-            most = max(logs)
-            here = most if len(logs) == 1 else most + math.log(sum([math.exp(x - most) for x in logs]))
-            reached.append(here)
-            if start < len(arcs):
-                for stop, log in arcs[start]:
-                    into[stop].append(here + log)
-        return reached
+                    arcs.append((start, stop, log))
+            at = len(arcs) - 1
+            while at >= 0 and arcs[at][0] == start:
+                _, stop, log = arcs[at]
+                new, old = here + log, reached[stop]
+                if old is None:
+                    reached[stop] = new
+                elif new > old:
+                    reached[stop] = new + log1p(exp(old - new))
+                else:
+                    reached[stop] = old + log1p(exp(new - old))
+                at -= 1
+        return reached, arcs
 
     def log_probability(self, word: str) -> float:
         """Natural log of the marginal probability of a word after a blank."""
-        return self.forward(self.arcs(MARK + word))[-1]
+        return self.forward(MARK + word)[0][-1]
 
     def expected(self, word: str, times: float, into: dict[str, float]) -> None:
         """Add the expected uses of every piece in so many occurrences of a word."""
         text = MARK + word
-        arcs = self.arcs(text)
-        reached = self.forward(arcs)
-        beyond = [0.0] * (len(arcs) + 1)
-        for start in range(len(arcs) - 1, -1, -1):
-            logs = [log + beyond[stop] for stop, log in arcs[start]]
-            most = max(logs)
-            beyond[start] = most if len(logs) == 1 else most + math.log(sum([math.exp(x - most) for x in logs]))
-        for start, own in enumerate(arcs):
-            for stop, log in own:
-                share_ = times * math.exp(reached[start] + log + beyond[stop] - reached[-1])
-                piece = text[start:stop]
-                if self.steps.get(piece) is not None:
-                    into[piece] = into.get(piece, 0.0) + share_
-                else:
-                    for b in piece.encode("utf-8", "replace"):
-                        key = chr(0xE000 + b)
-                        into[key] = into.get(key, 0.0) + share_
+        reached, arcs = self.forward(text)
+        whole = reached[-1]
+        beyond: list[float | None] = [None] * len(reached)
+        beyond[-1] = 0.0
+        for start, stop, log in reversed(arcs):
+            new, old = log + beyond[stop], beyond[start]
+            piece = text[start:stop]
+            used = times * exp(reached[start] + new - whole)
+            if self.steps.get(piece) is not None:
+                into[piece] = into.get(piece, 0.0) + used
+            else:
+                for b in piece.encode("utf-8", "replace"):
+                    key = chr(0xE000 + b)
+                    into[key] = into.get(key, 0.0) + used
+            if old is None:
+                beyond[start] = new
+            elif new > old:
+                beyond[start] = new + log1p(exp(old - new))
+            else:
+                beyond[start] = old + log1p(exp(new - old))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -170,6 +179,7 @@ def fitted(words: DataFrame, start: dict[str, float]) -> dict[str, float]:
     sent = share(words, start)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # many small tuples, no cycles
         lattice, total = Lattice(shared(sent)), {}
         for batch in batches:
             for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist()):
@@ -195,6 +205,7 @@ def valued(words: DataFrame, logs: dict[str, float], tokens: int, distinct: int)
     below = tokens + 0.1 * (distinct + 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
         lattice = Lattice(shared(sent))
         for batch in batches:
             found = [
