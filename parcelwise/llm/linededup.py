@@ -143,6 +143,8 @@ def matches(windows: DataFrame) -> DataFrame:
             "first.rest.after AS o_after",
         )
     )
+    # Written, so that the join's two sides are plain tables: a window that very many documents hold is then split.
+    first = cut_lineage(first, "line-firsts")
     same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
     later = found.join(first, "content").where(~(same & (F.col("start") == F.col("o_start"))))
     later = later.withColumn("ahead", _equal_lines("after", "o_after")).withColumn("back", _equal_lines("before", "o_before"))
