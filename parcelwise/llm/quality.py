@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.llm.common import without
+from parcelwise.session import cut_lineage
 
 MIN_WORDS = 50
 # A bucket holds values whose ratio is below this.
@@ -34,6 +35,8 @@ RATIOS = {
     "repeat_words": (0.1, False),
 }
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+# Fences of so many groups (a few MB) are sent to all tasks, so that the texts stay where they are.
+FEW_GROUPS = 20_000
 # Positions in the low bits of a packed hash; longer texts are sorted by the whole hash.
 PLACE_BITS = 24
 
@@ -165,7 +168,9 @@ def fences(sketch: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH)
 
 def judged(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     """Measured rows with ``kept``: the base rules hold and every ratio lies within its group's fences."""
-    limits = bounds.withColumnsRenamed({"lang": "_q_lang", "source": "_q_source"})
+    limits = cut_lineage(bounds, "quality-fences").withColumnsRenamed({"lang": "_q_lang", "source": "_q_source"})
+    if limits.count() <= FEW_GROUPS:
+        limits = F.broadcast(limits)  # beyond that the join decides by itself
     joined = rows.join(
         limits, F.col("lang").eqNullSafe(F.col("_q_lang")) & F.col("source").eqNullSafe(F.col("_q_source")), "left"
     )
