@@ -32,7 +32,8 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 KINDS = ["assign", "access", "hex", "random"]
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# An equals sign is padding at the end, or parts a name from its value: then the value is a candidate of its own.
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
 # Alphabets in order of their characters, each with the pattern a candidate must match; the first match counts.
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"

@@ -65,6 +65,24 @@ def test_random_strings_are_found_and_ordinary_ones_left(spark):
     assert (share[2] + share[3]) / sum(share.values()) <= 1.5 * secrets.FALSE_SHARE
 
 
+ASSIGNED = ["AUTH={}", "export DB_PW={}", "https://host/a?sig={}&x=1", "AWS_SECRET_ACCESS_KEY={}", "PASS={}==", "a=b={} c", "key: {}"]
+
+
+def test_values_behind_an_equals_sign_are_candidates_of_their_own(spark):
+    rows, want = [], {}
+    for i in range(420):
+        key = base64.b64encode(hashlib.sha256(str(i).encode()).digest()).decode().rstrip("=").replace("/", "_")
+        text = "some words\n" + ASSIGNED[i % len(ASSIGNED)].format(key) + "\nmore"
+        start = text.index(key)
+        rows.append((i, text))
+        want[i] = (start, start + len(key) + 2 * ("==" in text))
+    found = secrets.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    random_spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == "random"] for r in found}
+    for form in range(len(ASSIGNED)):
+        own = [i for i in want if i % len(ASSIGNED) == form]
+        assert sum(random_spans[i] == [want[i]] for i in own) > 0.9 * len(own), ASSIGNED[form]
+
+
 @pytest.mark.parametrize("z", [-4.0, -1.0, -0.2, 0.0, 0.7, 2.0, 3.5])
 def test_the_normal_distribution(spark, z):
     got = spark.range(1).select(secrets._normal_below(F.lit(z)).alias("p")).first()["p"]
