@@ -3,7 +3,8 @@
 Each stage takes the documents its predecessor kept and returns them with the same columns (the last one returns
 digests of the encoded texts). Rejected documents are gone for the stages after: those that fail the quality rules; those of
 which line dedup leaves no word; all but one of each group of near-duplicates; those contaminated by benchmark items. Line dedup
-also shortens texts; ``n_chars``, where there is one, then says the new length.
+also shortens texts; ``n_chars``, where there is one, then says the new length. Passages that repeat inside lines go after
+near dedup, from the documents it kept: near copies are judged as whole documents before.
 
 Defined cases: those of the operators; a column of the documents that has the name of an operator's result is set aside
 while the operator works.
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, fmindex, linededup, quality, simhash
+from parcelwise.llm import bpe, fmindex, linededup, passages, quality, simhash
 from parcelwise.llm.common import read, read_all
 from parcelwise.session import cut_lineage
 
@@ -24,6 +25,7 @@ SHINGLE, RADIUS = 3, 3
 
 RESULTS = {
     *quality.MEASURES, "n_lines", "base_failed", "kept", "spans", "n_removed", "kept_text", "n_hit", "items",
+    "passages", "n_passage_words", "cut_text",
     *bpe.FIELDS,
 }
 
@@ -43,21 +45,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return back(quality.judged(measured, quality.fences(quality.sketches(measured))).where("kept"))
 
 
+def _shortened(found: DataFrame, removed: str, kept: str) -> DataFrame:
+    """The kept texts as the texts, their new lengths, and no document that lost its last word."""
+    some = F.col(kept).rlike("[^ \t\n\x0b\x0c\r]")
+    found = found.where((F.col(removed) == 0) | some)
+    if "n_chars" in found.columns:
+        shorter = F.when(F.col(removed) > 0, F.length(kept)).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", shorter.cast(found.schema["n_chars"].dataType))
+    return found.withColumn("text", F.col(kept))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeated runs of lines; those that had words and have none left are gone."""
     rows, back = _set_aside(docs)
-    found = linededup.deduplicated(rows)
-    blank = F.col("kept_text").rlike("[^ \t\n\x0b\x0c\r]")
-    found = found.where((F.col("n_removed") == 0) | blank)
-    if "n_chars" in rows.columns:
-        shorter = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", shorter.cast(rows.schema["n_chars"].dataType))
-    return back(found.withColumn("text", F.col("kept_text")))
+    return back(_shortened(linededup.deduplicated(rows), "n_removed", "kept_text"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints are linked."""
-    return simhash.survivors(docs, SHINGLE, RADIUS)
+    """One document of each group whose fingerprints are linked, without later repeated passages."""
+    # Written once: the passages are marked, looked up and cut in three readings.
+    rows, back = _set_aside(cut_lineage(simhash.survivors(docs, SHINGLE, RADIUS), "pipeline-survivors"))
+    return back(_shortened(passages.cut(rows), "n_passage_words", "cut_text"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,15 +172,30 @@ def runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> Dat
     return merged.groupBy("doc_id", "text_key").agg(spans.alias("spans"))
 
 
-def deduplicated(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, beside: DataFrame | None = None
+) -> DataFrame:
     """The documents with ``spans`` (deleted lines, numbered from 0, both ends included), ``n_lines``, ``n_removed``
-    and ``kept_text``."""
+    and ``kept_text``.
+
+    ``beside`` has further columns by (doc_id, text_key), which come along in the same join of the texts.
+    """
     rows = without(docs, ["spans", "n_lines", "n_removed", "kept_text"])
-    found = runs(docs, text, min_words).withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "spans": "_spans"})
+    found, further = runs(docs, text, min_words), []
+    if beside is not None:
+        further = [c for c in beside.columns if c not in ("doc_id", "text_key")]
+        other = beside.withColumnsRenamed({"doc_id": "_b_id", "text_key": "_b_key"})
+        same = F.col("doc_id").eqNullSafe(F.col("_b_id")) & (F.col("text_key") == F.col("_b_key"))
+        # A null text has no run, so the key tells on which side a row is.
+        name = F.when(F.col("text_key").isNull(), F.col("_b_id")).otherwise(F.col("doc_id"))
+        found = found.join(other, same, "full_outer").select(
+            name.alias("doc_id"), F.coalesce("text_key", "_b_key").alias("text_key"), "spans", *further
+        )
+    found = found.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "spans": "_spans"})
     joined = rows.join(
         found, F.col("doc_id").eqNullSafe(F.col("_id")) & text_key(text).eqNullSafe(F.col("_key")), "left"
     )
-    names = [F.col(f"`{c}`") for c in rows.columns]
+    names = [F.col(f"`{c}`") for c in [*rows.columns, *further]]
     none = F.array().cast("array<struct<first:int,last:int>>")
     joined = joined.select(*names, F.coalesce("_spans", none).alias("spans"), F.split(text, "\n", -1).alias("_lines"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, quality, secrets, sharding, simhash
+from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, passages, quality, secrets, sharding, simhash
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -100,15 +100,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines in all documents."""
-    found = linededup.deduplicated(read(spark, sf_dir, "documents", "doc_id", "text"))
+    """Later repeated runs in all documents: of whole lines, and of words wherever they begin."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    words = cut_lineage(passages.repeats(docs, "text", passages.MIN_WORDS), "passage-words")
+    found = linededup.deduplicated(docs, beside=words).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+    found = passages.applied(found)
     spans = F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
+    inside = F.transform("passages", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
     return found.select(
         "doc_id",
         "n_lines",
         "n_removed",
         F.array_join(spans, ",").alias("removed_lines"),
-        F.sha2("kept_text", 256).alias("kept_sha256"),
+        "kept_sha256",
+        "n_passage_words",
+        F.array_join(inside, ",").alias("passages"),
+        F.sha2("cut_text", 256).alias("cut_sha256"),
     )
 
 
