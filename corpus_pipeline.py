@@ -32,7 +32,8 @@ RESULTS = {
 
 def _set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """The documents without names that operators use, and what gives the old names back."""
-    names = {c: f"_aside_{c}" if c.lower() in RESULTS else c for c in docs.columns}
+    # Working columns of the operators begin with an underscore.
+    names = {c: f"_aside_{c}" if c.lower() in RESULTS or c.startswith("_") else c for c in docs.columns}
     renamed = docs.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
     return renamed, lambda df: df.select([F.col(f"`{n}`").alias(c) for c, n in names.items()])
 
@@ -63,8 +64,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints are linked, without later repeated passages."""
+    rows, back = _set_aside(docs)
     # Written once: the passages are marked, looked up and cut in three readings.
-    rows, back = _set_aside(cut_lineage(simhash.survivors(docs, SHINGLE, RADIUS), "pipeline-survivors"))
+    rows = cut_lineage(simhash.survivors(rows, SHINGLE, RADIUS), "pipeline-survivors")
     return back(_shortened(passages.cut(rows), "n_passage_words", "cut_text"))
 
 

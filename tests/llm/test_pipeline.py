@@ -114,3 +114,15 @@ def test_an_empty_table_runs_through(spark, tables, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").where(F.lit(False)).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_named_like_working_columns_come_through(spark, tables):
+    folder, _, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(20)
+    for name in ("_id", "_key", "_spans", "_lines", "_q_x", "_q_lang", "_p_words"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    for name in ("quality rules", "line dedup", "near dedup"):
+        out = stage(name)(spark, docs, folder)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r["_id"] == f"_id{r['doc_id']}" and r["_q_x"] == f"_q_x{r['doc_id']}" for r in rows if r["doc_id"] is not None)
