@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, passages, quality, secrets, sharding, simhash
+from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, passages, quality, secrets, sharding, simhash, tokencounts
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
 SHARDS = 8
 SHARD_SEED = 20
+CONTEXT = 2048
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +120,14 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens every document has, and whether that is more than a context holds."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    found = tokencounts.counted(docs.select("doc_id", size, "text"), keep_text=False)
+    return found.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -130,4 +139,5 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_linededup": op10_linededup,
+    "op13_tokencounts": op13_tokencounts,
 }
