@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, chat, fmindex, langid, lattice, linededup, passages, quality, secrets, sharding, simhash, tokencounts
+from parcelwise.llm import (
+    bpe,
+    chat,
+    collocations,
+    fmindex,
+    langid,
+    lattice,
+    linededup,
+    passages,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    termsearch,
+    tokencounts,
+)
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
 
@@ -120,6 +135,17 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_termsearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's best documents of all documents."""
+    return termsearch.ranked(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language in all documents."""
+    found = collocations.mined(read(spark, sf_dir, "documents", "lang", "text"))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("rank", "words")})
+
+
 def op13_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many tokens every document has, and whether that is more than a context holds."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -139,5 +165,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
     "op10_linededup": op10_linededup,
+    "op11_termsearch": op11_termsearch,
+    "op12_collocations": op12_collocations,
     "op13_tokencounts": op13_tokencounts,
 }

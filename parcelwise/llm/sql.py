@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from parcelwise.llm.collocations import BEST as BEST_PHRASES
+from parcelwise.llm.collocations import COVERED, MIN_COUNT
 from parcelwise.llm.quality import GAMMA, MIN_GROUP, RATIOS, REACH, ZERO
 from parcelwise.llm.sharding import BUCKETS, PRIME, ROUNDS, round_keys
+from parcelwise.llm.termsearch import BEST as BEST_DOCUMENTS
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _network(total_rounds: int, seed: int) -> str:
@@ -162,9 +166,68 @@ SELECT conv_id, perspective, position, turn, speaker, role, header || body || ta
 FROM placed
 """
 
+# Every score of every document with a term of the item, then the first ones.
+_OP11 = rf"""
+WITH listed AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}') AS w
+  FROM documents),
+docs AS (SELECT d, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM listed WHERE len(w) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+items AS (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (
+  SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+    SELECT i, item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term FROM items)
+  GROUP BY ALL),
+held AS (
+  SELECT d, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, doc_id, n, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term, n_docs),
+scores AS (
+  SELECT i, item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), corpus GROUP BY i, item_id, d, doc_id),
+ranks AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= {BEST_DOCUMENTS}
+"""
+
+_OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+split_ AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+counts AS (
+  SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+    FROM split_, (SELECT unnest(range(1, 4)) AS k))
+  GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= {MIN_COUNT}),
+parts AS (
+  SELECT lang, k, phrase, a, place, array_to_string(w[1 : place], ' ') AS head, array_to_string(w[place + 1 :], ' ') AS tail
+  FROM often, (SELECT unnest([1, 2]) AS place) WHERE place < k),
+cuts AS (
+  SELECT p.lang, p.k, p.phrase, p.a, p.place, l.f AS l, r.f AS r,
+    CAST((1000000::HUGEINT * p.a * p.a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM parts p JOIN counts l ON l.lang = p.lang AND l.phrase = p.head JOIN counts r ON r.lang = p.lang AND r.phrase = p.tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[place : place + 1], ' ') AS phrase, max(a) AS longest
+  FROM often, (SELECT unnest([1, 2]) AS place) WHERE k = 3 GROUP BY ALL),
+ranks AS (
+  SELECT o.*, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, o.phrase) AS rank
+  FROM lowest o LEFT JOIN inner_ i ON i.lang = o.lang AND i.phrase = o.phrase AND o.k = 2
+  WHERE i.longest IS NULL OR 100 * i.longest < {COVERED} * o.a)
+SELECT lang, rank, phrase, a, l, r, n, score, k AS words FROM ranks JOIN totals USING (lang) WHERE rank <= {BEST_PHRASES}
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": _OP1,
     "op2_quality": _OP2,
     "op4_perspectives": _OP4,
     "op6_fmindex": _OP6,
+    "op11_termsearch": _OP11,
+    "op12_collocations": _OP12,
 }
