@@ -8,8 +8,8 @@ enumerated level by level, with their counts, all intervals of a level at once.
 deep as phrases go, which bounds the sort.
 
 Counts are summed across shards. A phrase that is frequent has frequent parts, so three passes over the written shards
-suffice: words are counted; phrases of two frequent words are counted by a 64-bit hash; the phrases whose pairs of neighbours
-are all frequent by that count are counted by their words. What earlier passes found goes to the tasks as bits, 16 for
+suffice: words are counted by a 64-bit hash, then phrases of two frequent words; the frequent words, and the phrases whose pairs
+of neighbours are all frequent, are then counted as texts. What earlier passes found goes to the tasks as bits, 16 for
 each entry and 64 MB at most. Beyond that, and where hashes collide, more phrases are counted than needed, never
 fewer: the last sums decide.
 
@@ -40,11 +40,11 @@ BEST = 2000
 SCALE = 1_000_000
 
 # Words of a shard, and rows handed on at once.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 OUT_ROWS = 1 << 16
 # A longer text is cut between pieces, so that a shard ends in it; a single piece stays whole.
 TEXT_BYTES = 8 << 20
-FILE_SHARDS = 8
+FILE_SHARDS = 4
 FILTER_BITS = 16, 29
 
 # A to Z lower-cased, what ends a piece as line feeds, a tab as a blank.
@@ -52,7 +52,7 @@ _CLEAN = bytes.maketrans(UPPER + b".,;:!?\x0b\x0c\r\t", LOWER + b"\n" * 9 + b" "
 _END = re.compile(b"[.,;:!?\n\x0b\x0c\r]")
 BREAK, NOTHING = 0, 1
 
-SHARDS = "lang STRING, words BINARY, ids BINARY"
+SHARDS = "lang STRING, n LONG, words BINARY, ids BINARY"
 
 
 def parts(text: bytes, step: int = TEXT_BYTES) -> Iterator[bytes]:
@@ -94,8 +94,10 @@ class Buffer:
         ids = ids[np.concatenate([[True], (ids[1:] > 0) | (ids[:-1] > 0)])]
         ids = np.where(ids > 0, ids - 1, 0).astype(np.int32)
         words = b"\n".join(list(self.number)[2:])
+        count = np.count_nonzero(ids)
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([words], pa.binary()), pa.array([ids.tobytes()], pa.binary())], names=["lang", "words", "ids"]
+            [pa.array([lang]), pa.array([count]), pa.array([words], pa.binary()), pa.array([ids.tobytes()], pa.binary())],
+            names=["lang", "n", "words", "ids"],
         )
 
 
@@ -149,6 +151,18 @@ def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(33))
 
 
+def order_of(symbols: np.ndarray, largest: int, depth: int) -> np.ndarray:
+    """Positions in the order of the next ``depth`` symbols, digit by digit from the last one."""
+    order = None
+    for step in range(depth - 1, -1, -1):
+        key = symbols if step == 0 else np.concatenate([symbols[step:], np.zeros(step, symbols.dtype)])
+        for shift in range(0, max(1, int(largest).bit_length()), 16):
+            digit = (key >> shift).astype(np.uint16)  # of 16 bits, which numpy sorts by counting
+            at = np.argsort(digit if order is None else digit[order], kind="stable")
+            order = at if order is None else order[at]
+    return order
+
+
 class Levels:
     """A wavelet matrix: the symbols of a sequence bit by bit from the top, with counts of zeros before each place."""
 
@@ -156,20 +170,21 @@ class Levels:
         self.bits = range(max(1, int(largest).bit_length()) - 1, -1, -1)
         self.zeros: list[np.ndarray] = []
         every = np.arange(largest + 1)
-        first = np.zeros(largest + 1, np.int64)
+        first = np.zeros(largest + 1, np.int32)
         for bit in self.bits:
-            one = (symbols >> bit) & 1 == 1
+            zero = symbols & (1 << bit) == 0
             count = np.zeros(len(symbols) + 1, np.int32)
-            np.cumsum(~one, out=count[1:])
+            np.cumsum(zero, out=count[1:])
             self.zeros.append(count)
-            symbols = np.concatenate([symbols[~one], symbols[one]])
+            symbols = np.concatenate([symbols[zero], symbols[~zero]])
             before = count[first]
             first = np.where(every >> bit & 1 == 1, count[-1] + first - before, before)
         self.first = first  # of every symbol, where its places start below the last bit
 
     def inside(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
         """The symbols in every interval of places, ascending: (interval, symbol, how often before it, how often in it)."""
-        which, symbol = np.arange(len(low)), np.zeros(len(low), np.int64)
+        low, high = low.astype(np.int32), high.astype(np.int32)
+        which, symbol = np.arange(len(low), dtype=np.int32), np.zeros(len(low), np.int32)
         for zeros in self.zeros:
             low0, high0 = zeros[low], zeros[high]
             low = np.stack([low0, zeros[-1] + low - low0], 1).ravel()
@@ -177,21 +192,14 @@ class Levels:
             symbol = np.stack([symbol << 1, symbol << 1 | 1], 1).ravel()
             some = high > low
             low, high, symbol, which = low[some], high[some], symbol[some], np.repeat(which, 2)[some]
-        return which, symbol, low - self.first[symbol], high - low
+        return which, symbol.astype(np.int64), low - self.first[symbol], (high - low).astype(np.int64)
 
 
 class Side:
     """The index of one direction: rows in the order of the next ``depth`` symbols, and the symbols before them."""
 
     def __init__(self, symbols: np.ndarray, largest: int, depth: int):
-        key = symbols.astype(np.int64)
-        for step in range(1, depth):
-            follow = np.zeros(len(symbols), np.int64)
-            follow[: len(symbols) - step] = symbols[step:]
-            key = key * (largest + 1) + follow
-            if (largest + 1) ** (step + 2) > 1 << 62:
-                key = np.unique(key, return_inverse=True)[1]
-        order = np.argsort(key, kind="stable")
+        order = order_of(symbols, largest, depth)
         self.levels = Levels(symbols[order - 1], largest)  # the sequence ends in a break, which precedes its start
         count = np.bincount(symbols, minlength=largest + 1)
         self.start = np.cumsum(count) - count
@@ -275,21 +283,22 @@ def among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
-def word_counts(stored: DataFrame) -> DataFrame:
-    """(lang, phrase, key, n): every word of every shard."""
+def key_counts(stored: DataFrame) -> DataFrame:
+    """(key, n): the words of every shard, by hash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids in stored_shards(batches):
-            count, keys = np.bincount(ids, minlength=len(words) + 1)[1:], hashes(lang, words)[1:].view(np.int64)
-            for i in range(0, len(words), OUT_ROWS):
-                part = words[i : i + OUT_ROWS]
-                text = pa.array([w.decode(errors="replace") for w in part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), text, pa.array(keys[i : i + OUT_ROWS]), pa.array(count[i : i + OUT_ROWS])],
-                    names=["lang", "phrase", "key", "n"],
-                )
+            yield from counted(hashes(lang, words)[1:], np.bincount(ids, minlength=len(words) + 1)[1:])
+
+    return stored.select("lang", "words", "ids").mapInArrow(work, "key LONG, n LONG")
 
-    return stored.mapInArrow(work, "lang STRING, phrase STRING, key LONG, n LONG")
+
+def counted(keys: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Hashes with their counts, some rows at a time."""
+    keys = keys.view(np.int64)
+    for i in range(0, len(keys), OUT_ROWS):
+        columns = [pa.array(keys[i : i + OUT_ROWS]), pa.array(count[i : i + OUT_ROWS].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "n"])
 
 
 def _frequent_symbols(words: list[bytes], ids: np.ndarray, keys: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,7 +306,7 @@ def _frequent_symbols(words: list[bytes], ids: np.ndarray, keys: np.ndarray, bit
     good = among(bits, keys)
     good[0] = False
     left = np.flatnonzero(good)
-    new = np.zeros(len(keys), np.int64)
+    new = np.zeros(len(keys), np.int32)
     new[left] = np.arange(1, len(left) + 1)
     symbols = new[ids]
     if not len(symbols) or symbols[-1]:
@@ -316,17 +325,13 @@ def pair_counts(stored: DataFrame, frequent: np.ndarray) -> DataFrame:
             symbols, left = _frequent_symbols(words, ids, keys, bits)
             own = np.concatenate([keys[:1], keys[left]])
             for pairs in enumerated(symbols, len(left), 2):
-                key = mixed(own[pairs.words[:, 0]], own[pairs.words[:, 1]]).view(np.int64)
-                for i in range(0, len(key), OUT_ROWS):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[i : i + OUT_ROWS]), pa.array(pairs.count[i : i + OUT_ROWS].astype(np.int64))], names=["key", "n"]
-                    )
+                yield from counted(mixed(own[pairs.words[:, 0]], own[pairs.words[:, 1]]), pairs.count)
 
     return stored.select("lang", "words", "ids").mapInArrow(work, "key LONG, n LONG")
 
 
 def phrase_counts(stored: DataFrame, frequent: np.ndarray, pairs: np.ndarray, max_words: int) -> DataFrame:
-    """(lang, phrase, words, n): the phrases of every shard whose neighbours all are frequent pairs."""
+    """(lang, phrase, words, n): the frequent words of every shard, and phrases whose neighbours all are frequent pairs."""
     sent = share(stored, (frequent, pairs))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,38 +342,37 @@ def phrase_counts(stored: DataFrame, frequent: np.ndarray, pairs: np.ndarray, ma
             own = np.concatenate([keys[:1], keys[left]])
             text = ["", *[words[i - 1].decode(errors="replace") for i in left.tolist()]]
             keep = lambda a, b: among(both, mixed(own[a], own[b]))
+            alone = np.bincount(symbols, minlength=len(left) + 1)[1:]
+            yield from named(lang, text, np.arange(1, len(left) + 1)[:, None], alone)
             for found in enumerated(symbols, len(left), max_words, keep):
-                for i in range(0, len(found.count), OUT_ROWS):
-                    part = found.words[i : i + OUT_ROWS].T.tolist()
-                    phrase = list(map(" ".join, zip(*[map(text.__getitem__, column) for column in part])))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(phrase)),
-                            pa.array(phrase, pa.string()),
-                            pa.array(np.full(len(phrase), len(part), np.int32)),
-                            pa.array(found.count[i : i + OUT_ROWS].astype(np.int64)),
-                        ],
-                        names=["lang", "phrase", "words", "n"],
-                    )
+                yield from named(lang, text, found.words, found.count)
 
     return stored.select("lang", "words", "ids").mapInArrow(work, "lang STRING, phrase STRING, words INT, n LONG")
 
 
+def named(lang: str, text: list[str], words: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases of one length by their words, some rows at a time."""
+    for i in range(0, len(count), OUT_ROWS):
+        part = words[i : i + OUT_ROWS].T.tolist()
+        phrase = list(map(" ".join, zip(*[map(text.__getitem__, column) for column in part])))
+        size = np.full(len(phrase), len(part), np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(phrase)), pa.array(phrase, pa.string()), pa.array(size), pa.array(count[i : i + OUT_ROWS].astype(np.int64))],
+            names=["lang", "phrase", "words", "n"],
+        )
+
+
 def counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, size: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """All frequent phrases of one to ``max_words`` words (lang, phrase, words, f), and all words per language (lang, n)."""
     path = new_path(docs.sparkSession, "phrase-shards")
     shards(docs, size).write.option("maxRecordsPerFile", FILE_SHARDS).parquet(path)
     stored = docs.sparkSession.read.parquet(path)
-    words = word_counts(stored).groupBy("lang", "phrase", "key").agg(F.sum("n").alias("f"))
-    words = cut_lineage(words, "phrase-words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = words.where(F.col("f") >= min_count)
-    frequent = filter_bits(often.select("key"))
-    pairs = pair_counts(stored, frequent).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    found = phrase_counts(stored, frequent, filter_bits(pairs.select("key")), max_words)
-    found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    one = often.select("lang", "phrase", F.lit(1).alias("words"), "f")
-    return cut_lineage(one.unionByName(found), "phrase-counts"), totals
+    often = lambda rows: filter_bits(rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
+    frequent = often(key_counts(stored))
+    pairs = often(pair_counts(stored, frequent))
+    found = phrase_counts(stored, frequent, pairs, max_words).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
+    totals = stored.groupBy("lang").agg(F.sum("n").alias("n"))
+    return cut_lineage(found.where(F.col("f") >= min_count), "phrase-counts"), totals
 
 
 def scored(frequent: DataFrame, covered: int = COVERED) -> DataFrame:
