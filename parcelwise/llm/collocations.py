@@ -155,7 +155,7 @@ def order_of(symbols: np.ndarray, largest: int, depth: int) -> np.ndarray:
     """Positions in the order of the next ``depth`` symbols, digit by digit from the last one."""
     order = None
     for step in range(depth - 1, -1, -1):
-        key = symbols if step == 0 else np.concatenate([symbols[step:], np.zeros(step, symbols.dtype)])
+        key = symbols if step == 0 else np.concatenate([symbols[step:], np.zeros(min(step, len(symbols)), symbols.dtype)])
         for shift in range(0, max(1, int(largest).bit_length()), 16):
             digit = (key >> shift).astype(np.uint16)  # of 16 bits, which numpy sorts by counting
             at = np.argsort(digit if order is None else digit[order], kind="stable")
