@@ -370,7 +370,7 @@ SELECT "column", max(abs(fr / n_ref - fc / n_cur)) AS ks_d, any_value(n_ref) AS
   SELECT "column", CAST(sum(ref) OVER w AS DOUBLE) AS fr, CAST(sum(cur) OVER w AS DOUBLE) AS fc,
     CAST(sum(ref) OVER t AS DOUBLE) AS n_ref, CAST(sum(cur) OVER t AS DOUBLE) AS n_cur
   FROM f_cells WINDOW w AS (PARTITION BY "column" ORDER BY v), t AS (PARTITION BY "column"))
-GROUP BY 1"""
+WHERE n_ref > 0 AND n_cur > 0 GROUP BY 1"""
 TABLES["f_ks_p"] = """
 SELECT "column", ks_d, CASE WHEN lam < 2e-1 THEN 1e0 ELSE greatest(0e0, least(1e0,
     2 * (SELECT sum(CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END * exp(-2e0 * j * j * lam * lam))
@@ -382,7 +382,7 @@ def drift_rows(deciding: list[str]) -> str:
     names = ", ".join(f"'{c}'" for c in deciding)
     return f"""SELECT "column", {r('psi')}, {r('ks_d')}, {r('ks_p')}, ks_p < 1e-2 AS ks_rejects,
   CASE WHEN "column" NOT IN ({names}) THEN 'info' WHEN psi > 2e-1 THEN 'DRIFT' ELSE 'ok' END AS result
-FROM f_psi JOIN f_ks_p USING ("column")"""
+FROM f_psi LEFT JOIN f_ks_p USING ("column")"""
 
 
 CURRENTS = {
@@ -423,6 +423,15 @@ SELECT *, CASE WHEN n_drifted > 0 THEN 2 WHEN over_limit THEN 3 ELSE 0 END AS co
 FROM ({' UNION ALL '.join(f'SELECT * FROM {prefix}_{n}' for n in CURRENTS)})"""
 
 
+for _name in CURRENTS:
+    TABLES[f"m_{_name}_ks"] = TABLES["f_ks"].replace("f_cells", f"m_{_name}_cells")
+    TABLES[f"m_{_name}_ks_p"] = TABLES["f_ks_p"].replace("f_ks)", f"m_{_name}_ks)")
+TABLES["m_reports"] = " UNION ALL ".join(
+    drift_rows(["total_weight_g", "distance_km"]).replace("SELECT ", f"SELECT '{n}' AS name, ", 1)
+    .replace("f_psi", f"m_{n}_psi").replace("f_ks_p", f"m_{n}_ks_p")
+    for n in CURRENTS
+)
+
 judged_tables("m", 30, "2e0")
 judged_tables("k", 2, "5e-1")
 
@@ -632,6 +641,11 @@ POINT = f"geolocation_zip_code_prefix, {r('geolocation_lat')}, {r('geolocation_l
 FLAGS = f"{POINT}, {r('dist_from_zip_median_km')}, is_coord_outlier, is_duplicate_row"
 JUDGED = f"""name, {r('mae')}, {r('test_mae')}, {r('margin')}, {r('mae_limit')}, over_limit, {big('n_drifted')}, psi_text,
   {big('n_days')}, {big('streak')}, {big('code')}, verdict, retrain"""
+DRIFT_ALERTS = """SELECT name || ': ' || lower(verdict) AS title, substr('inputs, drifted above 0.2: ' || psi_text || '; ' ||
+  printf('error %.2f days against %.2f in the test; allowed %.2f (%.2f more)', round(mae, 2), round(test_mae, 2), round(mae_limit, 2), margin) ||
+  printf('; days above that in a row: %d; ', CAST(streak AS BIGINT)) ||
+  CASE WHEN retrain THEN 'train a new model' ELSE 'keep watching' END, 1, 1000) AS detail
+FROM m_all WHERE code <> 0"""
 SLOW_DETAIL = """printf('95 of 100 answers within %.1f ms, allowed 200; failed %.2f in 100, allowed less than 1; ', round(p95, 1),
     round(100e0 * errors_total / requests_total, 2)) ||
   printf('%d requests, %d of them turned away; model ', requests_total, rejected_total) || model_version"""
@@ -893,11 +907,9 @@ FROM (SELECT *, new_mae < baseline_mae AS beats_baseline FROM (
     "concept_drift": f"SELECT {r('mae')}, {r('test_mae')}, {r('2', 'margin')}, {r('test_mae + 2', 'mae_limit')}, coalesce(mae > test_mae + 2, FALSE) AS over_limit FROM m_sale_week",
     "drift_verdict": f"SELECT {JUDGED} FROM m_all",
     "drift_verdict_small_days": f"SELECT {JUDGED} FROM k_all",
-    "drift_alerts": """SELECT name || ': ' || lower(verdict) AS title, substr('inputs, drifted above 0.2: ' || psi_text || '; ' ||
-  printf('error %.2f days against %.2f in the test; allowed %.2f (%.2f more)', round(mae, 2), round(test_mae, 2), round(mae_limit, 2), margin) ||
-  printf('; days above that in a row: %d; ', CAST(streak AS BIGINT)) ||
-  CASE WHEN retrain THEN 'train a new model' ELSE 'keep watching' END, 1, 1000) AS detail
-FROM m_all WHERE code <> 0""",
+    "drift_alerts": DRIFT_ALERTS,
+    "drift_alerts_kept": f"SELECT *, unnest(['run-1', 'run-2']) AS run_id FROM ({DRIFT_ALERTS})",
+    "drift_reports_kept": "SELECT *, 'run-1' AS run_id FROM m_reports UNION ALL SELECT *, 'run-2' FROM m_reports WHERE name = 'north'",
     "daily_mae": f"SELECT strftime(day, '%Y-%m-%d') AS day, {big('n')}, {r('mae')} FROM y_daily",
     "mae_streak": f"""SELECT {big('(SELECT count(*) FROM y_daily)', 'n_days')}, {big('''coalesce((SELECT max(length) FROM (
   SELECT count(*) AS length FROM (SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island

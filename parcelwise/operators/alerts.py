@@ -9,6 +9,7 @@ from parcelwise.functions.scalar import squeeze
 from parcelwise.operators.contract import is_valid, reasons
 from parcelwise.operators.drift import NO_DRIFT, PSI_LIMIT
 from parcelwise.operators.service import SLO_ERROR_RATE, SLO_P95_MS
+from parcelwise.sources import kept
 
 # Fixed values.
 DETAIL_CHARS = 1000
@@ -16,14 +17,16 @@ REASON_CHARS = 700
 PAYLOAD_CHARS = 280
 REJECTED_TITLE = "Request turned away"
 SLO_TITLE = "Service outside its limits"
+ALERT = "title STRING, detail STRING"
 
 
 def alert(title: Column, detail: Column) -> list[Column]:
     return [title.alias("title"), F.substring(detail, 1, DETAIL_CHARS).alias("detail")]
 
 
-def drift_alerts(judged: DataFrame, name: str) -> DataFrame:
-    """An alert for every verdict row that is not clean; input as made by ``drift.monitor``."""
+def drift_alerts(judged: DataFrame, name: str | Column) -> DataFrame:
+    """An alert for every verdict row that is not clean; input as made by ``drift.monitor`` or ``profile.monitored``."""
+    name = F.lit(name) if isinstance(name, str) else name
     advice = F.when(F.col("retrain"), "train a new model").otherwise("keep watching")
     detail = F.concat_ws(
         "; ",
@@ -33,7 +36,7 @@ def drift_alerts(judged: DataFrame, name: str) -> DataFrame:
         F.format_string("days above that in a row: %d", "streak"),
         advice,
     )
-    title = F.concat(F.lit(f"{name}: "), F.lower("verdict"))
+    title = F.concat(name, F.lit(": "), F.lower("verdict"))
     return judged.where(F.col("code") != NO_DRIFT).select(*alert(title, detail))
 
 
@@ -65,3 +68,8 @@ def rejection_alerts(checked: DataFrame, *keep: str) -> DataFrame:
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
     alerts.write.mode("append").parquet(path)
+
+
+def keep_alerts(alerts: DataFrame, path: str, run_id: str) -> None:
+    """The alerts of a run; a run again replaces its own."""
+    kept.keep(alerts, path, run_id)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.functions.order_stats import percentiles, running_counts
+from parcelwise.functions.order_stats import percentiles
 from parcelwise.functions.scalar import flag
+from parcelwise.functions.steps import BUCKET, Gap, first_counts, kolmogorov_p, largest_gaps
 from parcelwise.operators.evaluate import mae
 from parcelwise.operators.features import TARGET
 
@@ -37,23 +38,19 @@ def _both_counts() -> list[Column]:
     return [F.sum(F.col(c).cast("bigint")).alias(c) for c in ("ref", "cur")]
 
 
-def paired_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How often each value occurs in both tables: rows of (column, _v, ref, cur).
-
-    The exact distance needs this. Rows are counted before the shuffle, and since the key is column and
-    value no single task gets a whole column.
-    """
-    return _cells(reference, current, columns).groupBy("column", "_v").agg(*_both_counts())
-
-
-def _psi(bins: DataFrame) -> DataFrame:
-    """Population stability from the counts per (column, bin)."""
-    sizes = bins.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
+def psi_of_bins(bins: DataFrame, by: Sequence[str] = ("column",)) -> DataFrame:
+    """Population stability from the counts per bin of each group: rows of (by, bin, ref, cur)."""
+    sizes = bins.groupBy(*by).agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     # Against an empty table there is no share, so the index is null and nothing counts as drifted.
     share = lambda c: f"CASE WHEN n_{c} > 0 THEN CASE WHEN {c} = 0 THEN {EMPTY_SHARE!r}D ELSE {c} / n_{c} END END"
-    # One row per named column, so the size of this side is known.
-    shares = bins.join(F.broadcast(sizes), "column").selectExpr("column", f"{share('ref')} AS p", f"{share('cur')} AS q")
-    return shares.groupBy("column").agg(F.sum(F.expr("(q - p) * ln(q / p)")).alias("psi"))
+    # One row per named column and table, so the size of this side is known.
+    joined = bins.join(F.broadcast(sizes), list(by))
+    shares = joined.selectExpr(*[f"`{c}`" for c in by], f"{share('ref')} AS p", f"{share('cur')} AS q")
+    return shares.groupBy(*by).agg(F.sum(F.expr("(q - p) * ln(q / p)")).alias("psi"))
+
+
+# Equal-width bins from ``lo`` to ``hi``, the last one closed.
+BIN = "CAST(CASE WHEN hi > lo THEN least(floor((_v - lo) / (hi - lo) * k), k - 1) ELSE 0 END AS BIGINT)"
 
 
 def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins: str = "sturges") -> DataFrame:
@@ -75,25 +72,24 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
         ranges = cells.groupBy("column").agg(
             F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.expr("ceil(log2(count(*))) + 1 AS k")
         )
-        place = "CASE WHEN hi > lo THEN least(floor((_v - lo) / (hi - lo) * k), k - 1) ELSE 0 END"
+        place = BIN
         placed = cells.join(F.broadcast(ranges), "column")
     binned = placed.groupBy("column", F.expr(place).cast("bigint").alias("bin")).agg(*_both_counts())
-    return _psi(binned)
+    return psi_of_bins(binned)
+
+
+def ks_rows(spark: SparkSession, gaps: dict[tuple, Gap], by: str) -> DataFrame:
+    """Distances and p-values as a table; ``by`` declares the columns of a group."""
+    rows = [(*group, g.largest, kolmogorov_p(g.largest, g.n_ref, g.n_cur)) for group, g in gaps.items()]
+    return spark.createDataFrame(rows, f"{by}, ks_d DOUBLE, ks_p DOUBLE")
 
 
 def ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance and its asymptotic p-value per column."""
-    counts = paired_counts(reference, current, columns)
-    sizes = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    steps = running_counts(counts, ["ref", "cur"], by=["column"]).join(F.broadcast(sizes), "column")
-    gap = "max(abs(ref_upto / n_ref - cur_upto / n_cur)) AS ks_d"
-    found = steps.where("n_ref > 0 AND n_cur > 0").groupBy("column", "n_ref", "n_cur").agg(F.expr(gap))
-    lam = "ks_d * sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur))"
-    series = """2 * aggregate(sequence(1, 100), 0D,
-        (s, j) -> s + CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END * exp(-2D * j * j * lam * lam))"""
-    return found.selectExpr("column", "ks_d", f"{lam} AS lam").selectExpr(
-        "column", "ks_d", f"CASE WHEN lam < 0.2D THEN 1D ELSE greatest(0D, least(1D, {series})) END AS ks_p"
-    )
+    """Two-sample Kolmogorov-Smirnov distance and its asymptotic p-value per column that has values on both sides."""
+    cells = _cells(reference, current, columns)
+    inside = lambda asked: cells.withColumn("_b", F.expr(BUCKET)).join(F.broadcast(asked), ["column", "_b"])
+    gaps = largest_gaps(first_counts(cells, ["column"]), inside, ["column"])
+    return ks_rows(reference.sparkSession, gaps, "column STRING")
 
 
 def drift_report(
@@ -104,9 +100,13 @@ def drift_report(
 ) -> DataFrame:
     """One row per column: PSI, KS and the result. Only PSI of the deciding columns makes a drift."""
     columns = [*deciding, *info]
+    return reported(psi(reference, current, columns).join(ks(reference, current, columns), "column", "left"), deciding)
+
+
+def reported(both: DataFrame, deciding: Sequence[str]) -> DataFrame:
+    """Add the result to rows of (column, psi, ks_d, ks_p)."""
     decides = F.col("column").isin(*deciding)
     result = F.when(~decides, "info").when(F.col("psi") > PSI_LIMIT, "DRIFT").otherwise("ok")
-    both = psi(reference, current, columns).join(ks(reference, current, columns), "column", "left")
     return both.withColumns({"ks_rejects": F.col("ks_p") < KS_P_LIMIT, "result": result})
 
 
@@ -148,6 +148,12 @@ def verdict(judged: DataFrame) -> DataFrame:
     return judged.withColumns({"code": code, "verdict": name, "retrain": drifted | (F.col("streak") >= RETRAIN_DAYS)})
 
 
+def psi_text(of: dict[str, Column]) -> Column:
+    """The indexes of the deciding columns in words."""
+    parts = [F.when(p.isNull(), F.lit(f"{c} PSI=unknown")).otherwise(F.format_string(f"{c} PSI=%.3f", p)) for c, p in of.items()]
+    return F.concat_ws(", ", *parts)
+
+
 def monitor(
     reference: DataFrame,
     current: DataFrame,
@@ -158,11 +164,7 @@ def monitor(
 ) -> DataFrame:
     """One row with everything the verdict rests on. ``current`` and ``test`` carry predictions."""
     inputs = psi(reference, current, deciding)
-    of = lambda c: F.max(F.when(F.col("column") == c, F.col("psi")))
-    text = F.concat_ws(", ", *[
-        F.when(of(c).isNull(), F.lit(f"{c} PSI=unknown")).otherwise(F.format_string(f"{c} PSI=%.3f", of(c)))
-        for c in deciding
-    ])
+    text = psi_text({c: F.max(F.when(F.col("column") == c, F.col("psi"))) for c in deciding})
     drifted = inputs.agg(
         F.struct(F.coalesce(F.sum(flag(F.col("psi") > PSI_LIMIT)), F.lit(0)).alias("n"), text.alias("psi_text"))
     ).scalar()

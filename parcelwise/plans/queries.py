@@ -23,13 +23,14 @@ from parcelwise.operators import (
     models,
     order_table,
     orders,
+    profile,
     service,
     splits,
 )
 from parcelwise.operators.features import CATEGORIES, NUMBERS, TARGET, add_features, time_features
-from parcelwise.plans.stored import stored_order_table
-from parcelwise.session import configure, new_path
-from parcelwise.sources import standins
+from parcelwise.plans.stored import stored_order_table, stored_reference, stored_split
+from parcelwise.session import configure, cut_lineage, new_path
+from parcelwise.sources import kept, standins
 from parcelwise.sources.tables import read_raw, write_table
 from parcelwise.streaming import jobs
 
@@ -666,7 +667,8 @@ def score_batch(spark, folder):
 
 
 def _drift_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
-    return _parts(spark, folder)["train"], splits.north_orders(_located(spark, folder))
+    split = stored_split(spark, folder)
+    return split.where("split = 'train'"), splits.north_orders(split)
 
 
 @query
@@ -695,19 +697,21 @@ def drift_report_all_columns(spark, folder):
     return drift.drift_report(*_drift_sides(spark, folder), deciding=DRIFT_COLUMNS, info=[])
 
 
-def _monitored(spark, folder, min_orders: int = drift.MIN_ORDERS_PER_DAY, margin: float = drift.MAE_MARGIN) -> dict[str, DataFrame]:
-    """Verdicts on four tables: a plain sample, other places, a sale week, and a season with slower delivery."""
-    parts = _parts(spark, folder)
-    median = evaluate.train_median(parts["train"])
-    guessed = _located(spark, folder).withColumn("prediction", median)
-    test = parts["test"].withColumn("prediction", median)
-    currents = {
-        "normal": explore.sample_rows(test, 500, "order_id"),
+def _currents(spark, folder, median: float) -> dict[str, DataFrame]:
+    """Four tables to check: a plain sample, other places, a sale week, and a season with slower delivery."""
+    guessed = stored_split(spark, folder).withColumn("prediction", F.lit(median))
+    return {
+        "normal": explore.sample_rows(guessed.where("split = 'test'"), 500, "order_id"),
         "north": splits.north_orders(guessed),
         "sale_week": splits.sale_week_orders(guessed, *SALE_WEEK),
         "december": guessed.where(F.month("order_purchase_timestamp") == 12),
     }
-    return {n: drift.monitor(parts["train"], df, test, min_orders=min_orders, margin=margin) for n, df in currents.items()}
+
+
+def _monitored(spark, folder, **limits) -> DataFrame:
+    """Verdicts on the four tables against the stored profile."""
+    reference, median = stored_reference(spark, folder)
+    return profile.monitored(reference, _currents(spark, folder, median), **limits)
 
 
 @query
@@ -720,20 +724,39 @@ def concept_drift(spark, folder):
 
 @query
 def drift_verdict(spark, folder):
-    rows = [df.withColumn("name", F.lit(name)) for name, df in _monitored(spark, folder).items()]
-    return reduce(DataFrame.unionByName, rows)
+    return _monitored(spark, folder)
 
 
 @query
 def drift_verdict_small_days(spark, folder):
     """The same verdicts with days of two orders judged and half a day of margin, so that streaks show on little data."""
-    found = _monitored(spark, folder, min_orders=2, margin=0.5)
-    return reduce(DataFrame.unionByName, [df.withColumn("name", F.lit(name)) for name, df in found.items()])
+    return _monitored(spark, folder, min_orders=2, margin=0.5)
 
 
 @query
 def drift_alerts(spark, folder):
-    return reduce(DataFrame.unionByName, [alerts.drift_alerts(df, n) for n, df in _monitored(spark, folder).items()])
+    return alerts.drift_alerts(_monitored(spark, folder), F.col("name"))
+
+
+@query
+def drift_reports_kept(spark, folder):
+    """Reports on the four tables against the stored profile, kept by table and run: one run is kept twice, one copy stays."""
+    reference, median = stored_reference(spark, folder)
+    path = new_path(spark, "drift-reports")
+    reports = cut_lineage(profile.drift_reports(reference, _currents(spark, folder, median)), "drift-reports-made")
+    for rows, run in ((reports, "run-1"), (reports, "run-1"), (reports.where("name = 'north'"), "run-2")):
+        kept.keep(rows, path, run, by=["name"])
+    return kept.kept(spark, path, profile.REPORT)
+
+
+@query
+def drift_alerts_kept(spark, folder):
+    """The alerts of two runs, the first one run again: each stands there once."""
+    path = new_path(spark, "drift-alerts")
+    found = cut_lineage(alerts.drift_alerts(_monitored(spark, folder), F.col("name")), "drift-alerts-made")
+    for run in ("run-1", "run-1", "run-2"):
+        alerts.keep_alerts(found, path, run)
+    return kept.kept(spark, path, alerts.ALERT)
 
 
 @query

@@ -186,3 +186,106 @@ def test_psi_shuffles_bins_not_values(spark):
     plan = drift.psi(base, base.where("a > 100"), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     keys = [line.split("hashpartitioning(")[1].split("),")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
     assert keys and not any("_v#" in k for k in keys)
+
+
+def recorded(monkeypatch):
+    """The plans of all bucket counts that a search for the largest gap asks for."""
+    from parcelwise.functions import steps
+
+    plans, collect = [], steps.rows_of
+
+    def rows_of(counts):
+        rows = collect(counts)
+        plans.append((counts._jdf.queryExecution().executedPlan().toString(), len(rows)))
+        return rows
+
+    monkeypatch.setattr(steps, "rows_of", rows_of)
+    return plans
+
+
+@pytest.mark.parametrize("parts", [16, 1 << 16])
+def test_ks_refines_buckets_and_shuffles_no_values(spark, monkeypatch, parts):
+    from parcelwise.functions import steps
+
+    monkeypatch.setattr(steps, "PARTS", parts)
+    plans = recorded(monkeypatch)
+    rng = random.Random(11)
+    # Close together, far apart, negative, with many equal values, and a single one.
+    sides = {
+        "a": ([rng.gauss(1000, 1) for _ in range(4000)], [rng.gauss(1000.4, 1) for _ in range(900)]),
+        "b": ([rng.uniform(-5, 5) for _ in range(4000)], [rng.choice([-2.5, 0.0, 1e-300, 3.25]) for _ in range(900)]),
+        "c": ([float(rng.randrange(3)) for _ in range(4000)], [1.0] * 900),
+        "d": ([7.0] * 4000, [7.0] * 900),
+    }
+    table = lambda i: spark.createDataFrame(list(zip(*[s[i] for s in sides.values()])), "a double, b double, c double, d double")
+    got = {r["column"]: r["ks_d"] for r in drift.ks(table(0), table(1), list(sides)).collect()}
+    for c, (ref, cur) in sides.items():
+        ref, cur, every = np.sort(ref), np.sort(cur), np.array(ref + cur)
+        gaps = np.searchsorted(ref, every, "right") / len(ref) - np.searchsorted(cur, every, "right") / len(cur)
+        assert got[c] == pytest.approx(np.abs(gaps).max(), abs=1e-15), c
+    assert len(plans) > 1
+    for plan, n in plans:
+        keys = [line.split("hashpartitioning(")[1].split("),")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+        assert keys and not any("_v#" in k for k in keys)
+    assert all(n <= max(parts, 1200) for _, n in plans[1:])
+
+
+def test_a_stored_profile_gives_what_the_tables_give(spark, tmp_path):
+    from parcelwise.operators import profile
+
+    rng = random.Random(2)
+    columns = ["total_weight_g", "distance_km", "total_price", "total_freight", "delivery_days"]
+    def rows(n, shift):
+        schema = "order_purchase_timestamp timestamp, prediction double, " + ", ".join(f"{c} double" for c in columns)
+        made = lambda: [rng.choice([0.0, 50.0, rng.lognormvariate(4, 1)]) + shift for _ in columns[:-1]]
+        when = lambda: datetime(2020, 1, 1) + timedelta(hours=rng.randrange(24 * 12))
+        return spark.createDataFrame([(when(), 9.0, *made(), float(rng.randrange(20))) for _ in range(n)], schema)
+
+    ref, test = rows(1500, 0.0), rows(300, 0.0)
+    currents = {"same": rows(200, 0.0), "moved": rows(400, 35.5), "none": ref.where("false"), "ref": ref}
+    # Two parts, as if the second had been added later.
+    for i, part in enumerate(("total_price < 60", "total_price >= 60")):
+        profile.write_profile(ref.where(part), columns, f"{tmp_path}/{i}", test.where(f"delivery_days % 2 = {i}"))
+    stored = profile.Profile(spark, f"{tmp_path}/0", f"{tmp_path}/1")
+    got = {r["name"]: r.asDict() for r in profile.monitored(stored, currents, min_orders=5, margin=0.1).collect()}
+    for name, df in currents.items():
+        want = drift.monitor(ref, df, test, min_orders=5, margin=0.1).first().asDict()
+        assert got[name].pop("name") == name
+        assert {k: v if not isinstance(v, float) else pytest.approx(v) for k, v in want.items()} == got[name], name
+    reports = {(r["name"], r["column"]): r for r in profile.drift_reports(stored, currents).collect()}
+    assert len(reports) == 4 * len(columns)
+    for name, df in currents.items():
+        for want in drift.drift_report(ref, df).collect():
+            r = reports[name, want["column"]]
+            for field in ("psi", "ks_d", "ks_p"):
+                assert r[field] == (want[field] if want[field] is None else pytest.approx(want[field], abs=1e-12)), (name, field)
+            assert (r["ks_rejects"], r["result"]) == (want["ks_rejects"], want["result"])
+
+
+def test_a_check_reads_few_values_of_the_profile(spark, tmp_path):
+    """The filter on buckets reaches the scan of the stored values."""
+    from parcelwise.operators import profile
+
+    ref = spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS x")
+    stored = profile.write_profile(ref, ["x"], str(tmp_path / "p"))
+    wanted = [r["bucket"] for r in stored.buckets().where("first <= 100 AND last >= 100").collect()]
+    rows = stored.values([("x", b) for b in wanted])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pruned, pushed = (plan.split(f"{what}Filters: [")[1].split("]")[0] for what in ("Partition", "Pushed"))
+    assert "column#" in pruned and "EqualTo(bucket" in pushed
+    assert rows.count() < 10
+    with pytest.raises(Exception):
+        stored.test_mae()  # no test table was given
+
+
+def test_kept_rows_are_replaced_by_run(spark, tmp_path):
+    from parcelwise.sources import kept
+
+    path = str(tmp_path / "kept")
+    rows = lambda *v: spark.createDataFrame([(n, x) for n, x in v], "name string, x int")
+    kept.keep(rows(("a", 1), ("a", 2), ("b", 3)), path, "001", by=["name"])
+    kept.keep(rows(("a", 1), ("a", 2), ("b", 3)), path, "001", by=["name"])  # again
+    kept.keep(rows(("a", 5)), path, "002", by=["name"])
+    kept.keep(rows(("a", 9)), path, "001", by=["name"])  # another result of the first run, for one dataset
+    got = sorted(map(tuple, kept.kept(spark, path, "x int, name string").select("name", "x", "run_id").collect()))
+    assert got == [("a", 5, "002"), ("a", 9, "001"), ("b", 3, "001")]
