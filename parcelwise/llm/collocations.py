@@ -8,7 +8,7 @@ enumerated level by level, with their counts, all intervals of a level at once.
 deep as phrases go, which bounds the sort.
 
 Counts are summed across shards. A phrase that is frequent has frequent parts, so three passes over the written shards
-suffice: words are counted by a 64-bit hash, then phrases of two frequent words; the frequent words, and the phrases whose pairs
+suffice: words are counted by a hash, then phrases of two frequent words; the frequent words, and the phrases whose pairs
 of neighbours are all frequent, are then counted as texts. What earlier passes found goes to the tasks as bits, 16 for
 each entry and 64 MB at most. Beyond that, and where hashes collide, more phrases are counted than needed, never
 fewer: the last sums decide.
@@ -44,8 +44,10 @@ SHARD_WORDS = 1 << 20
 OUT_ROWS = 1 << 16
 # A longer text is cut between pieces, so that a shard ends in it; a single piece stays whole.
 TEXT_BYTES = 8 << 20
-FILE_SHARDS = 4
+FILE_SHARDS = 8
 FILTER_BITS = 16, 29
+# Of a hash, what words and pairs are first counted by.
+KEY_BITS = 40
 
 # A to Z lower-cased, what ends a piece as line feeds, a tab as a blank.
 _CLEAN = bytes.maketrans(UPPER + b".,;:!?\x0b\x0c\r\t", LOWER + b"\n" * 9 + b" ")
@@ -264,6 +266,11 @@ def enumerated(symbols: np.ndarray, largest: int, depth: int, keep=None) -> Iter
         yield found if forward else found.turned()
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """The first bits of hashes, as numbers that are not negative."""
+    return (keys >> np.uint64(64 - KEY_BITS)).view(np.int64)
+
+
 def filter_bits(rows: DataFrame) -> np.ndarray:
     """The entries of a column ``key`` of hashes as bits: 16 for each at least, within bounds."""
     rows = cut_lineage(rows, "frequent-keys")
@@ -279,7 +286,7 @@ def filter_bits(rows: DataFrame) -> np.ndarray:
 
 def among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which hashes are in the bits."""
-    slot = keys.view(np.int64) & (len(bits) * 64 - 1)
+    slot = short(keys) & (len(bits) * 64 - 1)
     return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
@@ -295,7 +302,7 @@ def key_counts(stored: DataFrame) -> DataFrame:
 
 def counted(keys: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Hashes with their counts, some rows at a time."""
-    keys = keys.view(np.int64)
+    keys = short(keys)
     for i in range(0, len(keys), OUT_ROWS):
         columns = [pa.array(keys[i : i + OUT_ROWS]), pa.array(count[i : i + OUT_ROWS].astype(np.int64))]
         yield pa.RecordBatch.from_arrays(columns, names=["key", "n"])
@@ -331,7 +338,7 @@ def pair_counts(stored: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def phrase_counts(stored: DataFrame, frequent: np.ndarray, pairs: np.ndarray, max_words: int) -> DataFrame:
-    """(lang, phrase, words, n): the frequent words of every shard, and phrases whose neighbours all are frequent pairs."""
+    """(named, n): the frequent words of every shard, and phrases whose neighbours all are frequent pairs, after their language."""
     sent = share(stored, (frequent, pairs))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +354,7 @@ def phrase_counts(stored: DataFrame, frequent: np.ndarray, pairs: np.ndarray, ma
             for found in enumerated(symbols, len(left), max_words, keep):
                 yield from named(lang, text, found.words, found.count)
 
-    return stored.select("lang", "words", "ids").mapInArrow(work, "lang STRING, phrase STRING, words INT, n LONG")
+    return stored.select("lang", "words", "ids").mapInArrow(work, "named STRING, n LONG")
 
 
 def named(lang: str, text: list[str], words: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -355,11 +362,8 @@ def named(lang: str, text: list[str], words: np.ndarray, count: np.ndarray) -> I
     for i in range(0, len(count), OUT_ROWS):
         part = words[i : i + OUT_ROWS].T.tolist()
         phrase = list(map(" ".join, zip(*[map(text.__getitem__, column) for column in part])))
-        size = np.full(len(phrase), len(part), np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(phrase)), pa.array(phrase, pa.string()), pa.array(size), pa.array(count[i : i + OUT_ROWS].astype(np.int64))],
-            names=["lang", "phrase", "words", "n"],
-        )
+        columns = [pa.array([f"{lang}\t{p}" for p in phrase], pa.string()), pa.array(count[i : i + OUT_ROWS].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["named", "n"])
 
 
 def counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, size: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -370,7 +374,11 @@ def counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WOR
     often = lambda rows: filter_bits(rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
     frequent = often(key_counts(stored))
     pairs = often(pair_counts(stored, frequent))
-    found = phrase_counts(stored, frequent, pairs, max_words).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
+    found = phrase_counts(stored, frequent, pairs, max_words).groupBy("named").agg(F.sum("n").alias("f"))
+    # One short text per row in the shuffle; a phrase holds no tab.
+    phrase = F.substring_index("named", "\t", -1)
+    lang = F.expr("substring(named, 1, length(named) - length(substring_index(named, '\t', -1)) - 1)")
+    found = found.select(lang.alias("lang"), phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("words"), "f")
     totals = stored.groupBy("lang").agg(F.sum("n").alias("n"))
     return cut_lineage(found.where(F.col("f") >= min_count), "phrase-counts"), totals
 
