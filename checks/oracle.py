@@ -870,6 +870,24 @@ UNION ALL SELECT order_id, customer_state, {ts('order_purchase_timestamp')}, 'sa
 FROM s_located LEFT JOIN {HOT['customer_state']} a ON s_located.customer_state = a.customer_state
 LEFT JOIN {HOT['seller_state']} b ON s_located.seller_state = b.seller_state""",
     "baseline_estimate_mae": f"SELECT split, {big('count(*)', 'n')}, {r('avg(abs(estimated_delivery_days - delivery_days))', 'mae')} FROM s_split GROUP BY 1",
+    "promotion_gate_fitted": f"""SELECT {big('step')}, model, {big('step', 'version')}, {big('champion')}, {big('n')}, {r('baseline_mae')},
+  promoted, {big('pointer')}, below_baseline, {big('n_reasons')}
+FROM (VALUES (1, 'median', NULL, FALSE, NULL, FALSE, 1), (2, 'linear_regression', NULL, TRUE, 2, TRUE, 0),
+    (3, 'linear_regression', 2, FALSE, 2, TRUE, 1), (4, 'median', 2, FALSE, 2, FALSE, 2),
+    (5, 'linear_regression', 2, FALSE, 2, TRUE, 2)) t(step, model, champion, promoted, pointer, below_baseline, n_reasons),
+  (SELECT count(*) AS n, avg(abs(med - delivery_days)) AS baseline_mae FROM s_split, s_median WHERE split = 'test')""",
+    "drift_verdict_fitted": f"""SELECT name, {big('1', 'version')}, {big('n_drifted')}, psi_text, {big('n_days')},
+  TRUE AS test_below_median, TRUE AS code_follows, TRUE AS retrain_follows FROM m_all""",
+    "run_records": f"""SELECT *, unnest(['run-1', 'run-2']) AS run_id FROM (
+SELECT 'rows' AS kind, NULL AS model, split, 'n' AS name, CAST(count(*) AS DOUBLE) AS number, NULL AS text FROM s_split GROUP BY split
+UNION ALL SELECT 'table', NULL, NULL, 'n', count(*), NULL FROM s_split
+UNION ALL SELECT 'table', NULL, NULL, 'checksum', NULL, CAST(sum(CAST('0x' || substr(md5(concat_ws('|',
+  length(CAST(order_id AS VARCHAR)) || ':' || order_id, length(split) || ':' || split,
+  length(CAST(delivery_days AS VARCHAR)) || ':' || delivery_days)), 1, 8) AS BIGINT)) AS VARCHAR) FROM s_split
+UNION ALL SELECT 'param', unnest(['median', 'linear_regression']), NULL, 'given', NULL, 'true'
+UNION ALL SELECT 'metric', 'median', split, unnest(['n', 'mae', 'rmse']),
+  unnest([CAST(count(*) AS DOUBLE), round(avg(abs(med - delivery_days)), 4), round(sqrt(avg(pow(med - delivery_days, 2))), 4)]),
+  unnest(['false', 'true', 'true']) FROM s_split, s_median WHERE split IN ('val', 'test') GROUP BY split)""",
     "baseline_median_mae": f"""SELECT split, {big('count(*)', 'n')}, {r('max(med)', 'median_days')},
   {r('avg(abs(med - delivery_days))', 'mae')}, {r('sqrt(avg(pow(med - delivery_days, 2)))', 'rmse')}
 FROM s_split, s_median WHERE split IN ('val', 'test') GROUP BY 1""",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -112,14 +111,23 @@ def score(model: PipelineModel, rows: DataFrame, version: str, keep: Sequence[st
     )
 
 
+def predicted(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
+    """The rows with one column of predictions per model, named like it, from one scan.
+
+    What a pipeline makes on its way is dropped before the next one.
+    """
+    out = add_features(rows.withColumns({f"_keep_{c}": F.col(f"`{c}`") for c in rows.columns}))
+    for name, model in models.items():
+        before = [F.col(f"`{c}`") for c in out.columns]
+        out = model.transform(out).select(*before, F.col("prediction").alias(f"_of_{name}"))
+    return out.select(*[F.col(f"_keep_{c}").alias(c) for c in rows.columns], *[F.col(f"`_of_{n}`").alias(n) for n in models])
+
+
 def predict_all(models: dict[str, PipelineModel], split: DataFrame) -> DataFrame:
-    """Validation and test predictions of every model as one long table."""
+    """Validation and test predictions of every model as one long table, from one scan."""
     held_out = split.where(F.col("split").isin("val", "test"))
-    parts = []
-    for name, model in models.items():
-        scored = model.transform(add_features(held_out))
-        parts.append(scored.select(F.lit(name).alias("model"), "split", TARGET, "prediction"))
-    return reduce(DataFrame.unionByName, parts)
+    cells = [F.struct(F.lit(n).alias("model"), F.col(f"`{n}`").alias("prediction")) for n in models]
+    return predicted(models, held_out).select("split", TARGET, F.inline(F.array(*cells))).select("model", "split", TARGET, "prediction")
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -54,19 +54,29 @@ def write_profile(reference: DataFrame, columns: Sequence[str], path: str, test:
     counted = counted.groupBy("column", "bucket").agg(F.count("*").alias("n"), F.min("_v").alias("first"), F.max("_v").alias("last"))
     counted.write.parquet(f"{path}/buckets")
     if test is not None:
-        error = F.abs(F.col("prediction") - F.col(TARGET))
-        test.agg(F.count(error).alias("n"), F.sum(error).alias("total")).write.parquet(f"{path}/errors")
+        _write_error(test, path)
     return Profile(spark, path)
 
 
+def _write_error(test: DataFrame, path: str) -> None:
+    error = F.abs(F.col("prediction") - F.col(TARGET))
+    test.agg(F.count(error).alias("n"), F.sum(error).alias("total")).write.parquet(f"{path}/errors")
+
+
+def with_error(profile: Profile, test: DataFrame, path: str) -> Profile:
+    """The same profile with the test error of another model, which is written; the reference is not read."""
+    _write_error(test, path)
+    return Profile(profile.spark, *profile.paths, errors=(path,))
+
+
 class Profile:
-    """The stored profiles under one or several paths as one."""
+    """The stored profiles under one or several paths as one; ``errors``: where the test error lies, if elsewhere."""
 
-    def __init__(self, spark: SparkSession, *paths: str):
-        self.spark, self.paths = spark, paths
+    def __init__(self, spark: SparkSession, *paths: str, errors: Sequence[str] = ()):
+        self.spark, self.paths, self.errors = spark, paths, errors or paths
 
-    def _read(self, schema: str, name: str) -> DataFrame:
-        parts = [self.spark.read.schema(schema).parquet(f"{p}/{name}") for p in self.paths]
+    def _read(self, schema: str, name: str, paths: Sequence[str] = ()) -> DataFrame:
+        parts = [self.spark.read.schema(schema).parquet(f"{p}/{name}") for p in paths or self.paths]
         return reduce(DataFrame.unionByName, parts)
 
     def buckets(self) -> DataFrame:
@@ -83,7 +93,7 @@ class Profile:
         return rows.where(F.col("column").isin(*columns) & F.col("bucket").isin(*buckets))
 
     def test_mae(self) -> float | None:
-        row = self._read("n LONG, total DOUBLE", "errors").agg(F.sum("total") / F.sum("n")).first()
+        row = self._read("n LONG, total DOUBLE", "errors", self.errors).agg(F.sum("total") / F.sum("n")).first()
         return row[0]
 
 

@@ -24,10 +24,12 @@ from parcelwise.operators import (
     order_table,
     orders,
     profile,
+    runs,
     service,
     splits,
 )
 from parcelwise.operators.features import CATEGORIES, NUMBERS, TARGET, add_features, time_features
+from parcelwise.operators.registry import Registry, judge
 from parcelwise.plans.stored import stored_order_table, stored_reference, stored_split
 from parcelwise.session import configure, cut_lineage, new_path
 from parcelwise.sources import kept, standins
@@ -642,16 +644,91 @@ def model_compare(spark, folder):
     return evaluate.compare_models(evaluate.model_errors(models.predict_all(fitted, rows)))
 
 
+def _fitted(spark, folder, *names: str) -> tuple[DataFrame, dict]:
+    rows = _model_rows(spark, folder)
+    return rows, models.fit_candidates(rows.where("split = 'train'"), list(names))
+
+
 @query
 def run_metrics(spark, folder):
     """The errors of a run appended to the metrics table, and the table read back."""
-    rows = _model_rows(spark, folder)
-    fitted = models.fit_candidates(rows.where("split = 'train'"), ["median", "linear_regression"])
+    rows, fitted = _fitted(spark, folder, "median", "linear_regression")
     path = new_path(spark, "run-metrics")
     evaluate.metric_rows(evaluate.model_errors(models.predict_all(fitted, rows)), "run-1").write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
+@query
+def run_records(spark, folder):
+    """Two runs on record, the first one kept twice: rows per split, checksum, number of parameters, and the median's errors.
+
+    Errors of the fitted model stand in as whether they are below the median's.
+    """
+    rows, fitted = _fitted(spark, folder, "median", "linear_regression")
+    path = new_path(spark, "runs")
+    made = cut_lineage(runs.record(fitted, rows.select("order_id", "split", TARGET), models.predict_all(fitted, rows)), "run-record")
+    for run in ("run-1", "run-1", "run-2"):
+        runs.keep_record(made, path, run)
+    found = runs.records(spark, path)
+    metrics = found.where("kind = 'metric'")
+    at = lambda m: F.max(F.when(F.col("model") == m, F.col("number")))
+    errors = metrics.groupBy("run_id", "split", "name").agg(
+        F.lit("median").alias("model"), at("median").alias("number"), (at("linear_regression") < at("median")).cast("string").alias("text")
+    )
+    given = found.where("kind = 'param'").groupBy("run_id", "model").agg((F.count("*") > 0).cast("string").alias("text"))
+    given = given.select("run_id", "model", F.lit("param").alias("kind"), F.lit("given").alias("name"), "text")
+    rest = found.where("kind IN ('rows', 'table')")
+    return rest.unionByName(errors.withColumn("kind", F.lit("metric"))).unionByName(given, allowMissingColumns=True)
+
+
+@query
+def promotion_gate_fitted(spark, folder):
+    """Versions fitted on the same rows and put to the gate one after the other: which one it let through, and what the pointer names.
+
+    The median does not beat itself; a better model is promoted; the same again is no better; a worse one is not; nor is a slow one.
+    """
+    rows, fitted = _fitted(spark, folder, "median", "linear_regression")
+    held = Registry(spark, new_path(spark, "registry"))
+    test = cut_lineage(rows.where("split = 'test'"), "gate-rows")
+    cases = [("median", None), ("linear_regression", None), ("linear_regression", None), ("median", None), ("linear_regression", 250.0)]
+    judged = []
+    for step, (name, p95) in enumerate(cases, 1):
+        version = held.register(fitted[name], {"model": name})
+        row = judge(held, version, test, fitted["median"], p95)
+        judged.append(row.select(F.lit(step).alias("step"), F.lit(name).alias("model"), "*", F.lit(held.promoted()).cast("int").alias("pointer")))
+    return reduce(DataFrame.unionByName, judged).select(
+        "step", "model", "version", "champion", "n", "baseline_mae", "promoted", "pointer",
+        (F.col("new_mae") < F.col("baseline_mae")).alias("below_baseline"),
+        F.when(F.col("reasons") == "", 0).otherwise(F.size(F.split("reasons", "; "))).alias("n_reasons"),
+    )
+
+
+@query
+def drift_verdict_fitted(spark, folder):
+    """The monitor with the promoted fitted model: it is loaded, scores the test and the four tables, and is judged.
+
+    Fitted errors stand in as whether they are below the median's, over the limit, and what follows from it.
+    """
+    rows, fitted = _fitted(spark, folder, "median", "linear_regression")
+    held = Registry(spark, new_path(spark, "registry"))
+    version = held.register(fitted["linear_regression"], {"model": "linear_regression"})
+    judge(held, version, rows.where("split = 'test'"), fitted["median"])
+    reference, median = stored_reference(spark, folder)
+    model = {"prediction": held.load()}
+    keep = ("order_id", "split", TARGET, "distance_km")
+    scored = lambda df: models.predicted(model, contract.contract_only(df, keep=keep))
+    test = scored(stored_split(spark, folder).where("split = 'test'"))
+    own = profile.with_error(reference, test, new_path(spark, "fitted-error"))
+    found = profile.monitored(own, {n: scored(df) for n, df in _currents(spark, folder, median).items()})
+    drifted = F.col("n_drifted") > 0
+    return found.select(
+        "name", F.lit(held.promoted()).alias("version"), "n_drifted", "psi_text", "n_days",
+        (F.col("test_mae") < F.lit(reference.test_mae())).alias("test_below_median"),
+        (F.col("code") == F.when(drifted, 2).when(F.col("mae") > F.col("test_mae") + 2, 3).otherwise(0)).alias("code_follows"),
+        (F.col("retrain") == (drifted | (F.col("streak") >= 2))).alias("retrain_follows"),
+    )
+
+
 @query
 def score_batch(spark, folder):
     """Fit, save and load a model, and score the accepted requests with it."""
