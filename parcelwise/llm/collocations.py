@@ -9,7 +9,7 @@ deep as phrases go, which bounds the sort.
 
 Counts are summed across shards. A phrase that is frequent has frequent parts, so three passes over the written shards
 suffice: words are counted by a hash, then phrases of two frequent words; the frequent words, and the phrases whose pairs
-of neighbours are all frequent, are then counted as texts. What earlier passes found goes to the tasks as bits, 16 for
+of neighbours are all frequent, are then counted as texts. What earlier passes found goes to the tasks as bits, 32 for
 each entry and 64 MB at most. Beyond that, and where hashes collide, more phrases are counted than needed, never
 fewer: the last sums decide.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from parcelwise.llm.common import LOWER, UPPER, pieces, share, shared, texts
+from parcelwise.llm.common import LOWER, UPPER, pieces, release, share, shared, texts
 from parcelwise.session import cut_lineage, new_path
 
 MIN_COUNT = 10
@@ -44,7 +44,7 @@ SHARD_WORDS = 1 << 20
 OUT_ROWS = 1 << 16
 # A longer text is cut between pieces, so that a shard ends in it; a single piece stays whole.
 TEXT_BYTES = 8 << 20
-FILE_SHARDS = 8
+FILE_SHARDS = 4
 FILTER_BITS = 16, 29
 # Of a hash, what words and pairs are first counted by.
 KEY_BITS = 40
@@ -272,22 +272,26 @@ def short(keys: np.ndarray) -> np.ndarray:
 
 
 def filter_bits(rows: DataFrame) -> np.ndarray:
-    """The entries of a column ``key`` of hashes as bits: 16 for each at least, within bounds."""
+    """The entries of a column ``key`` of hashes as bits, two of each: 32 for every entry at least, within bounds."""
     rows = cut_lineage(rows, "frequent-keys")
     least, most = FILTER_BITS
-    size = min(most, max(least, (16 * rows.count()).bit_length()))
-    slot = f"(key & {(1 << size) - 1}L)"
-    words = rows.groupBy(F.expr(f"CAST(shiftright({slot}, 6) AS INT) AS word"))
-    found = words.agg(F.expr("bit_or(shiftleft(1L, CAST(key & 63L AS INT))) AS bits")).toArrow()
+    size = min(most, max(least, (32 * rows.count()).bit_length()))
+    # The lowest and the highest bits of a hash.
+    slots = rows.select(F.explode(F.array(F.expr(f"key & {(1 << size) - 1}L"), F.shiftright("key", KEY_BITS - size))).alias("slot"))
+    words = slots.groupBy(F.expr("CAST(shiftright(slot, 6) AS INT) AS word"))
+    found = words.agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63L AS INT))) AS bits")).toArrow()
     out = np.zeros(1 << (size - 6), np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    # Nothing needs the counts behind the bits any more.
+    release(rows.sparkSession)
     return out
 
 
 def among(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which hashes are in the bits."""
-    slot = short(keys) & (len(bits) * 64 - 1)
-    return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
+    """Which hashes have both their bits."""
+    key, size = short(keys), (len(bits) * 64).bit_length() - 1
+    has = lambda slot: (bits[slot >> 6] >> (slot & 63)) & 1 == 1
+    return has(key & ((1 << size) - 1)) & has(key >> (KEY_BITS - size))
 
 
 def key_counts(stored: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 from collections.abc import Iterator
 
@@ -74,6 +75,16 @@ def shared(sent):
     return pickle.loads(sent.value)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over.
+
+    It does so when the driver's collector has found that nobody refers to them, which may be long after; a job of
+    several passes would hold the files of all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of a table followed by more fields."""
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)
