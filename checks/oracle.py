@@ -599,6 +599,25 @@ def daily_error(n: int) -> str:
 
 
 TABLES["y_daily"] = daily_error(30)
+TABLES["t_uneven"] = """
+SELECT ts, y, CASE WHEN day(ts) = 14 THEN y + 1 ELSE p END AS p FROM t_predictions WHERE day(ts) NOT IN (9, 20)"""
+TABLES["y_uneven"] = daily_error(20).replace("t_predictions", "t_uneven")
+# Days whose window has closed when the input ends.
+TABLES["y_closed"] = "SELECT * FROM y_uneven WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM t_uneven) - INTERVAL 1 HOUR"
+
+
+def streak_rows(days: str, more: str = "") -> str:
+    return f"""SELECT {big(f'(SELECT count(*) FROM {days})', 'n_days')}, {big(f'''coalesce((SELECT max(length) FROM (
+  SELECT count(*) AS length FROM (SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island
+    FROM {days} WHERE mae > x) GROUP BY island)), 0)''', 'streak')}, x AS mae_limit{more}
+FROM (VALUES (25e0), (27e0), (29e0), (100e0)) AS t(x)"""
+
+
+# The run that the last closed day belongs to, none if that day is not above the limit.
+LAST_RUN = """, CAST(coalesce((SELECT length FROM (SELECT max(day) AS last, count(*) AS length FROM (
+    SELECT day, day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island FROM y_closed WHERE mae > x) GROUP BY island)
+  WHERE last = (SELECT max(day) FROM y_closed)), 0) AS BIGINT) AS run,
+  strftime((SELECT max(day) FROM y_closed), '%Y-%m-%d') AS last_day"""
 LOG_TOTALS = """count(*) AS requests_total, count(*) FILTER (status >= 500) AS errors_total,
   count(*) FILTER (status BETWEEN 400 AND 499) AS rejected_total"""
 TABLES["y_recent"] = "SELECT * FROM t_log ORDER BY ts DESC, event_id DESC LIMIT 1000"
@@ -929,10 +948,9 @@ FROM (SELECT *, new_mae < baseline_mae AS beats_baseline FROM (
     "drift_alerts_kept": f"SELECT *, unnest(['run-1', 'run-2']) AS run_id FROM ({DRIFT_ALERTS})",
     "drift_reports_kept": "SELECT *, 'run-1' AS run_id FROM m_reports UNION ALL SELECT *, 'run-2' FROM m_reports WHERE name = 'north'",
     "daily_mae": f"SELECT strftime(day, '%Y-%m-%d') AS day, {big('n')}, {r('mae')} FROM y_daily",
-    "mae_streak": f"""SELECT {big('(SELECT count(*) FROM y_daily)', 'n_days')}, {big('''coalesce((SELECT max(length) FROM (
-  SELECT count(*) AS length FROM (SELECT day - CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS island
-    FROM y_daily WHERE mae > x) GROUP BY island)), 0)''', 'streak')}, x AS mae_limit
-FROM (VALUES (25e0), (27e0), (29e0), (100e0)) AS t(x)""",
+    "mae_streak": streak_rows("y_daily"),
+    "mae_streak_uneven": streak_rows("y_uneven"),
+    "stream_mae_streak": streak_rows("y_closed", LAST_RUN),
     "request_metrics": f"""SELECT {LOG_COLUMNS}, model_version FROM (
   {log_metrics("'all' AS model_version")} FROM t_log UNION ALL {log_metrics("model_version")} FROM t_log GROUP BY model_version)""",
     "request_last_1000": f"""SELECT {big('requests_total')}, {big('errors_total')}, {big('rejected_total')}, {r('p50')}, {r('p95')},
@@ -952,6 +970,12 @@ UNION ALL SELECT "column" || ': ' || rule, count(*) FROM q_violations GROUP BY 1
   {big('rejected_total')}, {r('error_rate')}, {r('p50')}, {r('p95')}, model_version FROM w_days""",
     "stream_alerts": f"""SELECT {ts('day', 'window_start')}, 'Service outside its limits' AS title, {SLOW_DETAIL} AS detail
 FROM w_days WHERE p95 > 200 OR error_rate >= 1e-2""",
+    "stream_unlabelled": f"""SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month,
+  {big('count(*) FILTER (in_time)', 'n_labelled')}, {big('count(*) FILTER (NOT in_time)', 'n_unlabelled')}
+FROM (SELECT order_purchase_timestamp, coalesce(order_delivered_customer_date BETWEEN order_purchase_timestamp
+    AND order_purchase_timestamp + INTERVAL 60 DAY, FALSE) AS in_time FROM t_orders)
+WHERE in_time OR order_purchase_timestamp + INTERVAL 60 DAY < (SELECT least(max(order_purchase_timestamp),
+  max(order_delivered_customer_date)) - INTERVAL 1 DAY FROM t_orders) GROUP BY 1""",
     "stream_label_gaps": f"""SELECT {big('count(*)', 'n_labels')},
   {big("count(*) - (SELECT count(*) FROM w_labels)", 'n_unjoined')}
 FROM t_orders WHERE order_delivered_customer_date IS NOT NULL""",

@@ -849,6 +849,17 @@ def mae_streak(spark, folder):
     return reduce(DataFrame.unionByName, rows)
 
 
+STREAK_LIMITS = [25.0, 27.0, 29.0, 100.0]
+
+
+@query
+def mae_streak_uneven(spark, folder):
+    """Streaks over a log with missing days and a good one, so that gaps and resets count."""
+    daily = drift.daily_mae(standins.uneven_prediction_log(spark, folder), min_orders=20)
+    rows = [drift.longest_streak(daily, x).withColumn("mae_limit", F.lit(x)) for x in STREAK_LIMITS]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def request_metrics(spark, folder):
     log = standins.request_log(spark, folder)
@@ -966,7 +977,35 @@ def stream_label_gaps(spark, folder):
     return jobs.unjoined_labels(*reversed(_labelled_stream(spark, folder)))
 
 
-def _labelled_stream(spark, folder) -> tuple[DataFrame, DataFrame]:
+@query
+def stream_mae_streak(spark, folder):
+    """The same streaks followed on streams: errors of closed days, then runs in the state of each limit.
+
+    The newest day is still open when the input ends.
+    """
+    log = standins.as_uneven(standins.as_predictions(jobs.read_parquet_stream(spark, folder, "events")))
+    out = new_path(spark, "streaks")
+    jobs.daily_errors(log, f"{out}/days", f"{out}/days-state", min_orders=20).awaitTermination()
+    days = spark.readStream.schema(jobs.DAYS).parquet(f"{out}/days")
+    jobs.streaks(days, STREAK_LIMITS, f"{out}/runs", f"{out}/runs-state").awaitTermination()
+    found = spark.read.schema(jobs.RUNS).parquet(f"{out}/runs")
+    return found.groupBy("mae_limit").agg(
+        F.max("n_days").alias("n_days"), F.max("longest").alias("streak"), F.max_by("run", "n_days").alias("run"), F.max("day").alias("last_day")
+    )
+
+
+@query
+def stream_unlabelled(spark, folder):
+    """Per month, predictions whose label came within the bound, and those released without one after it had passed."""
+    found = _labelled_stream(spark, folder, "left_outer")[0]
+    month = F.date_format("order_purchase_timestamp", "yyyy-MM").alias("month")
+    missing = F.col("delivered_at").isNull()
+    return found.groupBy(month).agg(
+        F.sum((~missing).cast("bigint")).alias("n_labelled"), F.sum(missing.cast("bigint")).alias("n_unlabelled")
+    )
+
+
+def _labelled_stream(spark, folder, how: str = "inner") -> tuple[DataFrame, DataFrame]:
     """What the stream has joined, and all labels that were reported."""
     heads = standins.as_orders(jobs.read_parquet_stream(spark, folder, "orders"))
     made = heads.select(
@@ -981,6 +1020,6 @@ def _labelled_stream(spark, folder) -> tuple[DataFrame, DataFrame]:
         scalar.elapsed_days("order_purchase_timestamp", "order_delivered_customer_date").alias(TARGET),
     )
     out = new_path(spark, "labelled")
-    jobs.labelled(made, arrived, out, f"{out}-state").awaitTermination()
+    jobs.labelled(made, arrived, out, f"{out}-state", how).awaitTermination()
     (reported,) = _raw(spark, folder, "orders")
     return spark.read.parquet(out), reported.where("order_delivered_customer_date IS NOT NULL").select("order_id")

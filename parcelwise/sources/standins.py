@@ -182,7 +182,11 @@ def as_request_log(scanned: DataFrame) -> DataFrame:
 
 def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions whose outcome is known by now: purchase time, real days, predicted days."""
-    return _scan(spark, folder, "events").select(
+    return as_predictions(_scan(spark, folder, "events"))
+
+
+def as_predictions(scanned: DataFrame) -> DataFrame:
+    return scanned.select(
         F.col("event_id").alias("order_id"),
         F.col("ts").cast("timestamp").alias("order_purchase_timestamp"),
         F.col("value").alias("delivery_days"),
@@ -190,6 +194,17 @@ def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def uneven_prediction_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without the orders of two days, and with a day of good predictions: gaps and a reset."""
+    return as_uneven(prediction_log(spark, folder))
+
+
+def as_uneven(log: DataFrame) -> DataFrame:
+    day = F.dayofmonth("order_purchase_timestamp")
+    good = F.when(day == 14, F.col("delivery_days") + 1).otherwise(F.col("prediction"))
+    return log.where(~day.isin(9, 20)).withColumn("prediction", good)
+
+
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders": orders,
     "order_items": order_items,

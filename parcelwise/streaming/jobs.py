@@ -7,14 +7,19 @@ one owns a checkpoint folder, so a restart goes on where it stopped.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator, Sequence
+from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from parcelwise.operators.alerts import rejection_alerts, slo_alerts
 from parcelwise.operators.contract import check, route
+from parcelwise.operators.evaluate import mae
 from parcelwise.operators.models import score
 from parcelwise.operators.service import counters, error_rate, slo_check
 
@@ -24,6 +29,8 @@ LATENESS = "1 hour"
 # Bounds a batch when a backlog is read; files come in the order of their modification.
 FILES_PER_BATCH = 1000
 WINDOW = "1 day"
+DAYS = "day DATE, n LONG, mae DOUBLE"
+RUNS = "mae_limit DOUBLE, day DATE, n_days LONG, run LONG, longest LONG"
 
 
 def read_parquet_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -121,9 +128,56 @@ def alerts(log: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).start()
 
 
-def labelled(predictions: DataFrame, deliveries: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def daily_errors(log: DataFrame, out: str, checkpoint: str, min_orders: int, lateness: str = LATENESS) -> StreamingQuery:
+    """The error of every closed day with enough orders, from predictions whose outcome is known (``DAYS``)."""
+    ts = "order_purchase_timestamp"
+    days = log.withWatermark(ts, lateness).groupBy(F.window(ts, WINDOW)).agg(F.count("*").alias("n"), mae().alias("mae"))
+    judged = days.where(F.col("n") >= min_orders)
+    return _start(judged.select(F.to_date("window.start").alias("day"), "n", "mae"), checkpoint, out)
+
+
+def _follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Judge the days that have come for a limit, in their order; a run ends with a day below, a gap, or a timeout."""
+    (limit,) = key
+    last, n_days, run, longest = state.get if state.exists else (date.min, 0, 0, 0)
+    out = []
+    if state.hasTimedOut:
+        # A day has passed without one to judge, so the next one starts anew.
+        run = 0
+        out.append((limit, last, n_days, run, longest))
+    else:
+        # One row per day: a batch is never large.
+        days = sorted(pair for batch in batches for pair in zip(batch["day"], batch["mae"]))
+        for day, error in days:
+            run = 0 if not error > limit else run + 1 if day - last == timedelta(days=1) else 1
+            last, n_days, longest = day, n_days + 1, max(longest, run)
+            out.append((limit, day, n_days, run, longest))
+    state.update((last, n_days, run, longest))
+    if not state.hasTimedOut and last > date.min:
+        end = pd.Timestamp(last, tz="UTC") + pd.Timedelta(days=2)
+        state.setTimeoutTimestamp(max(int(end.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame(out, columns=["mae_limit", "day", "n_days", "run", "longest"])
+
+
+def streaks(days: DataFrame, limits: Sequence[float], out: str, checkpoint: str) -> StreamingQuery:
+    """Follow runs of consecutive days above each limit: after every judged day the run so far and the longest one (``RUNS``).
+
+    ``days`` is a stream of ``DAYS`` in which later batches hold later days. The state of a limit is one row: its last day,
+    how many were judged, the run and the longest run.
+    """
+    at = days.withColumn("closed", F.col("day").cast("timestamp")).withWatermark("closed", "0 seconds")
+    each = at.select(F.explode(F.array(*[F.lit(float(x)) for x in limits])).alias("mae_limit"), "day", "mae", "closed")
+    found = each.groupBy("mae_limit").applyInPandasWithState(
+        _follow, RUNS, "last DATE, n_days LONG, run LONG, longest LONG", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return _start(found, checkpoint, out)
+
+
+def labelled(predictions: DataFrame, deliveries: DataFrame, out: str, checkpoint: str, how: str = "inner") -> StreamingQuery:
     """Predictions joined with the deliveries reported within the bound.
 
+    ``how="left_outer"`` also releases a prediction without one, once the bound has passed and its label can only be late.
+
     Both sides carry a watermark and the join a time bound, so the state of a prediction is dropped once
     its label can no longer arrive. The daily error is then a batch aggregate over the written rows.
     """
@@ -133,7 +187,7 @@ def labelled(predictions: DataFrame, deliveries: DataFrame, out: str, checkpoint
         "order_id = delivered_id AND delivered_at >= order_purchase_timestamp"
         f" AND delivered_at <= order_purchase_timestamp + INTERVAL {LABEL_BOUND_DAYS} DAYS"
     )
-    return _start(left.join(right, bound, "inner").drop("delivered_id"), checkpoint, out)
+    return _start(left.join(right, bound, how).drop("delivered_id"), checkpoint, out)
 
 
 def unjoined_labels(labels: DataFrame, joined: DataFrame) -> DataFrame:

@@ -126,3 +126,56 @@ def test_a_file_and_a_folder_of_files_stream_alike(spark, tmp_path):
         assert jobs.late_rows(query) == 0
         found.append(sorted(map(tuple, spark.read.parquet(out).collect())))
     assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_streaks_follow_gaps_resets_and_restarts(spark, tmp_path):
+    from datetime import date
+
+    from parcelwise.operators import drift
+
+    errors = {1: 9, 2: 9, 3: 9, 5: 9, 6: 9, 7: 1, 8: 9, 9: 9, 10: 9, 11: 9, 13: 9}
+    days = [(date(2024, 1, d), 40, float(e)) for d, e in errors.items()]
+    source, out = tmp_path / "days", str(tmp_path / "runs")
+    run = lambda: jobs.streaks(spark.readStream.schema(jobs.DAYS).parquet(str(source)), [5.0, 100.0], out, f"{out}-state").awaitTermination()
+    # Three deliveries of days, each a run of its own that goes on from the state.
+    for part in (days[:2], days[2:7], days[7:]):
+        spark.createDataFrame(part, jobs.DAYS).repartition(3).write.mode("append").parquet(str(source))
+        run()
+    run()  # nothing new
+    got = [r for r in spark.read.schema(jobs.RUNS).parquet(out).collect() if r["mae_limit"] == 5.0 and r["run"] > 0]
+    assert sorted((r["day"].day, r["run"]) for r in got) == [(1, 1), (2, 2), (3, 3), (5, 1), (6, 2), (8, 1), (9, 2), (10, 3), (11, 4), (13, 1)]
+    daily = spark.createDataFrame(days, jobs.DAYS)
+    for limit in (5.0, 100.0):
+        (row,) = [r for r in spark.read.schema(jobs.RUNS).parquet(out).groupBy("mae_limit").agg(F.max("longest").alias("s"), F.max("n_days").alias("n")).collect() if r["mae_limit"] == limit]
+        want = drift.longest_streak(daily, limit).first()
+        assert (row["s"], row["n"]) == (want["streak"], want["n_days"])
+
+
+def test_a_run_ends_when_its_day_passes_without_one(spark, tmp_path):
+    """Limits share the watermark, not their days: a late day of one limit times the other out."""
+    from datetime import date
+
+    source, out = tmp_path / "days", str(tmp_path / "runs")
+    put = lambda *d: spark.createDataFrame([(date(2024, 1, x), 40, 9.0) for x in d], jobs.DAYS).coalesce(1).write.mode("append").parquet(str(source))
+    run = lambda: jobs.streaks(spark.readStream.schema(jobs.DAYS).parquet(str(source)), [5.0], out, f"{out}-state").awaitTermination()
+    put(1, 2)
+    run()
+    put(20)
+    run()
+    rows = sorted((r["n_days"], r["run"], r["longest"]) for r in spark.read.schema(jobs.RUNS).parquet(out).collect())
+    assert rows[:2] == [(1, 1, 1), (2, 2, 2)] and rows[-1] == (3, 1, 2)
+
+
+def test_unlabelled_predictions_are_released_when_the_bound_has_passed(spark, tmp_path):
+    schema = "order_id bigint, order_purchase_timestamp timestamp, prediction double"
+    made = spark.createDataFrame([(i, T0 + timedelta(days=i), 5.0) for i in (0, 1, 2, 100, 101)], schema)
+    told = [(0, T0 + timedelta(days=4), 4), (1, T0 + timedelta(days=70), 69), (100, T0 + timedelta(days=140), 40)]
+    labels = spark.createDataFrame(told, "order_id bigint, delivered_at timestamp, delivery_days bigint")
+    made.write.parquet(str(tmp_path / "made"))
+    labels.write.parquet(str(tmp_path / "labels"))
+    stream = lambda df, name: spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
+    out = str(tmp_path / "out")
+    jobs.labelled(stream(made, "made"), stream(labels, "labels"), out, str(tmp_path / "state"), "left_outer").awaitTermination()
+    got = {r["order_id"]: r["delivery_days"] for r in spark.read.parquet(out).collect()}
+    # 1 was labelled too late, 2 never; 101 may still get its label.
+    assert got == {0: 4, 1: None, 2: None, 100: 40}
