@@ -948,6 +948,11 @@ FROM (SELECT *, new_mae < baseline_mae AS beats_baseline FROM (
     "drift_alerts_kept": f"SELECT *, unnest(['run-1', 'run-2']) AS run_id FROM ({DRIFT_ALERTS})",
     "drift_reports_kept": "SELECT *, 'run-1' AS run_id FROM m_reports UNION ALL SELECT *, 'run-2' FROM m_reports WHERE name = 'north'",
     "daily_mae": f"SELECT strftime(day, '%Y-%m-%d') AS day, {big('n')}, {r('mae')} FROM y_daily",
+    "rescued_items": f"""SELECT * FROM (
+  SELECT 'price' AS "column", {big("count(*)", "n")}, min('n/a') AS first FROM t_items WHERE order_id % 97 = 0
+  UNION ALL SELECT 'shipping_limit_date', count(*), min('day ' || order_id) FROM t_items WHERE order_id % 83 = 0
+  UNION ALL SELECT 'order_item_id', count(*), min('1.5') FROM t_items WHERE order_id % 79 = 0) WHERE n > 0
+UNION ALL SELECT 'all rows', count(*), CAST(count(*) FILTER (order_id % 97 = 0 OR order_id % 89 = 0) AS VARCHAR) FROM t_items""",
     "mae_streak": streak_rows("y_daily"),
     "mae_streak_uneven": streak_rows("y_uneven"),
     "stream_mae_streak": streak_rows("y_closed", LAST_RUN),

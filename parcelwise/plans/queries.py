@@ -33,7 +33,7 @@ from parcelwise.operators.registry import Registry, judge
 from parcelwise.plans.stored import stored_order_table, stored_reference, stored_split
 from parcelwise.session import configure, cut_lineage, new_path
 from parcelwise.sources import kept, standins
-from parcelwise.sources.tables import read_raw, write_table
+from parcelwise.sources.tables import read_raw, rescued_cells, write_table
 from parcelwise.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,27 @@ def order_level_csv(spark, folder):
     return table.withColumns({c: F.col(c).cast("bigint") for c in ("order_id", "customer_id")})
 
 
+@query
+def rescued_items(spark, folder):
+    """The items as CSV with planted cells of another type: how many the scan of each column kept, beside all rows."""
+    (items,) = _raw(spark, folder, "order_items")
+    key = F.col("order_id")
+    text = items.withColumns({
+        "price": F.when(key % 97 == 0, "n/a").when(key % 89 == 0, " ").otherwise(F.col("price").cast("string")),
+        "shipping_limit_date": F.when(key % 83 == 0, F.concat(F.lit("day "), key.cast("string"))).otherwise(
+            F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss")
+        ),
+        "order_item_id": F.when(key % 79 == 0, F.lit("1.5")).otherwise(F.col("order_item_id").cast("string")),
+    })
+    path = new_path(spark, "rescued")
+    write_table(text, f"{path}/order_items.csv", "csv")
+    read = read_raw(spark, path, "order_items", rescue=True)
+    rows = read.agg(
+        F.lit("all rows").alias("column"), F.count("*").alias("n"), F.sum(F.col("price").isNull().cast("bigint")).cast("string").alias("first")
+    )
+    return rescued_cells(read).unionByName(rows)
+
+
 @query
 def item_level(spark, folder):
     return _items(spark, folder)
@@ -941,7 +962,10 @@ def stream_score(spark, folder):
 
 
 def _log_stream(spark, folder) -> DataFrame:
-    return standins.as_request_log(jobs.read_parquet_stream(spark, folder, "events"))
+    """The request log as a stream in which every seventh event is replayed."""
+    log = standins.as_request_log(jobs.read_parquet_stream(spark, folder, "events"))
+    times = F.when(F.col("event_id") % 7 == 0, 2).otherwise(1)
+    return log.select("*", F.explode(F.sequence(F.lit(1), times)).alias("_time")).drop("_time")
 
 
 @query

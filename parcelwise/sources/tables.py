@@ -106,21 +106,55 @@ ORDER_COLUMNS: dict[str, str] = {
 }
 
 
-def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A CSV file with a header, every column as text; a leading byte-order mark is dropped."""
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=multiline, escape='"')
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+# What a scan keeps beside the typed columns: texts that are not of their column's type, and lines of another shape.
+RESCUED, BAD_LINE = "_rescued", "_bad_line"
 
 
-def typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """The named columns in their declared types; NaN and unreadable text become null."""
-    out = []
+def read_text_csv(spark: SparkSession, path: str, multiline: bool = False, keep_lines: bool = False) -> DataFrame:
+    """A CSV file with a header, every column as text; a leading byte-order mark is dropped.
+
+    ``keep_lines`` adds ``_bad_line``: a line with too few or too many cells, whose missing cells are null.
+    """
+    options = {"header": True, "multiLine": multiline, "escape": '"'}
+    df = spark.read.csv(path, inferSchema=False, **options)
+    names = [c.lstrip("﻿") for c in df.columns]
+    if not keep_lines:
+        return df.toDF(*names)
+    schema = ", ".join(f"`{c}` STRING" for c in (*df.columns, BAD_LINE))
+    return spark.read.schema(schema).csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, **options).toDF(*names, BAD_LINE)
+
+
+def typed(df: DataFrame, columns: Mapping[str, str], rescue: bool = False) -> DataFrame:
+    """The named columns in their declared types; NaN and unreadable text become null.
+
+    ``rescue`` adds ``_rescued``, a map from column to the text that could not be read (null where there is none), so that such a
+    null can be told from an empty cell. Blanks and NaN count as empty.
+    """
+    out, cells = [], []
     for name, kind in columns.items():
         value = F.col(name).try_cast(kind)
+        text = F.col(name).cast("string")
+        cells.append(F.struct(F.lit(name), F.when(value.isNull() & (F.trim(text) != ""), text)))
         if kind == "double":
             value = nan_to_null(value)
         out.append(value.alias(name))
-    return df.select(*out)
+    if not rescue:
+        return df.select(*out)
+    lost = F.filter(F.array(*cells), lambda x: x["col2"].isNotNull())
+    found = F.when(F.size(lost) > 0, F.map_from_entries(lost)).alias(RESCUED)
+    line = [F.col(BAD_LINE)] if BAD_LINE in df.columns else [F.lit(None).cast("string").alias(BAD_LINE)]
+    return df.select(*out, found, *line)
+
+
+def rescued_cells(df: DataFrame) -> DataFrame:
+    """Per column how many cells a rescuing scan could not read, and the first of their texts; lines of another shape
+    stand under ``_bad_line``."""
+    cells = F.coalesce(RESCUED, F.create_map().cast("map<string,string>"))
+    line = F.when(F.col(BAD_LINE).isNotNull(), F.create_map(F.lit(BAD_LINE), F.col(BAD_LINE)))
+    both = F.map_concat(cells, F.coalesce(line, F.create_map().cast("map<string,string>")))
+    return df.select(F.explode(both).alias("column", "text")).groupBy("column").agg(
+        F.count("*").alias("n"), F.min("text").alias("first")
+    )
 
 
 def read_raw(
@@ -129,13 +163,14 @@ def read_raw(
     name: str,
     pattern: str = "{name}.csv",
     columns: Sequence[str] | None = None,
+    rescue: bool = False,
 ) -> DataFrame:
-    """Scan one raw CSV table by its short name. ``columns`` prunes the scan."""
+    """Scan one raw CSV table by its short name. ``columns`` prunes the scan; ``rescue`` keeps what could not be read."""
     declared = RAW_TABLES[name]
     wanted = {c: declared[c] for c in (columns or declared)}
     # Review texts hold line breaks inside quotes.
-    text = read_text_csv(spark, f"{folder}/{pattern.format(name=name)}", multiline=name == "order_reviews")
-    return typed(text, wanted)
+    text = read_text_csv(spark, f"{folder}/{pattern.format(name=name)}", name == "order_reviews", keep_lines=rescue)
+    return typed(text, wanted, rescue)
 
 
 def read_raw_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -149,8 +184,18 @@ def read_order_table(spark: SparkSession, path: str, as_text: bool = False) -> D
     return text.select(*ORDER_COLUMNS) if as_text else typed(text, ORDER_COLUMNS)
 
 
+def read_order_lines(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
+    """Order records as JSON lines, all fields as text, so that the contract does the coercion; files are split among tasks.
+
+    A line that is no record stands in ``_bad_line``, its fields null.
+    """
+    schema = ", ".join(f"`{f}` string" for f in (*fields, BAD_LINE))
+    return spark.read.schema(schema).json(path, columnNameOfCorruptRecord=BAD_LINE)
+
+
 def read_order_json(spark: SparkSession, path: str, fields: Sequence[str], multiline: bool = True) -> DataFrame:
-    """Order records as JSON, all fields as text, so that the contract does the coercion."""
+    """The same from files of one record each, which may span lines: one task per file. For many records use
+    :func:`read_order_lines`."""
     schema = ", ".join(f"`{f}` string" for f in fields)
     return spark.read.schema(schema).json(path, multiLine=multiline)
 

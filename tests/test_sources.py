@@ -77,3 +77,28 @@ def test_partitioned_write(spark, tmp_path):
     write_table(df, str(tmp_path / "t"), partition_by=["part"])
     plan = spark.read.parquet(str(tmp_path / "t")).where("part = 'a'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_cells_and_lines_that_cannot_be_read_are_kept(spark, tmp_path):
+    from parcelwise.sources.tables import BAD_LINE, RESCUED, read_order_lines, rescued_cells
+
+    lines = ["﻿order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value"]
+    lines += ["a,1,p,s,2018-01-01 10:00:00,1.5,0.5", "b,1.5,p,s,soon,,NaN", "c,2,p", "d,3,p,s,2018-01-01,9,1,extra", "e, ,p,s,,x y,1"]
+    (tmp_path / "order_items.csv").write_text("\n".join(lines), encoding="utf-8")
+    read = read_raw(spark, str(tmp_path), "order_items", rescue=True)
+    got = {r["order_id"]: r for r in read.collect()}
+    assert {k: r[RESCUED] for k, r in got.items()} == {
+        "a": None, "b": {"order_item_id": "1.5", "shipping_limit_date": "soon"}, "c": None, "d": None, "e": {"price": "x y"},
+    }
+    assert {k for k, r in got.items() if r[BAD_LINE] is not None} == {"c", "d"} and got["c"][BAD_LINE] == "c,2,p"
+    assert (got["b"]["freight_value"], got["d"]["price"], got["c"]["price"]) == (None, 9.0, None)
+    counts = {r["column"]: (r["n"], r["first"]) for r in rescued_cells(read).collect()}
+    assert counts == {
+        "order_item_id": (1, "1.5"), "shipping_limit_date": (1, "soon"), "price": (1, "x y"), BAD_LINE: (2, "c,2,p"),
+    }
+    # The plain scan gives the same typed columns.
+    plain = read_raw(spark, str(tmp_path), "order_items")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, read.drop(RESCUED, BAD_LINE).collect()))
+    (tmp_path / "o.json").write_text('{"x": 1}\n{"x": \n{"x": "b"}')
+    rows = read_order_lines(spark, str(tmp_path / "o.json"), ["x"]).collect()
+    assert [(r["x"], r[BAD_LINE]) for r in rows] == [("1", None), (None, '{"x": '), ("b", None)]
