@@ -74,6 +74,15 @@ def numbering() -> defaultdict:
     return found
 
 
+def as_bytes(ids: np.ndarray) -> bytes:
+    """The lowest bytes of all ids, then the next ones, and so on: the higher ones are few and compress well."""
+    return np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def as_ids(stored: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 class Buffer:
     """The words of one language on their way into a shard."""
 
@@ -98,7 +107,7 @@ class Buffer:
         words = b"\n".join(list(self.number)[2:])
         count = np.count_nonzero(ids)
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([count]), pa.array([words], pa.binary()), pa.array([ids.tobytes()], pa.binary())],
+            [pa.array([lang]), pa.array([count]), pa.array([words], pa.binary()), pa.array([as_bytes(ids)], pa.binary())],
             names=["lang", "n", "words", "ids"],
         )
 
@@ -134,7 +143,7 @@ def stored_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list
     for batch in batches:
         for row in range(batch.num_rows):
             lang, words, ids = (batch.column(c)[row].as_py() for c in ("lang", "words", "ids"))
-            yield lang, words.split(b"\n") if words else [], np.frombuffer(ids, np.int32)
+            yield lang, words.split(b"\n") if words else [], as_ids(ids)
 
 
 def hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -373,7 +382,7 @@ def named(lang: str, text: list[str], words: np.ndarray, count: np.ndarray) -> I
 def counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, size: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """All frequent phrases of one to ``max_words`` words (lang, phrase, words, f), and all words per language (lang, n)."""
     path = new_path(docs.sparkSession, "phrase-shards")
-    shards(docs, size).write.option("maxRecordsPerFile", FILE_SHARDS).parquet(path)
+    shards(docs, size).write.option("maxRecordsPerFile", FILE_SHARDS).option("compression", "zstd").parquet(path)
     stored = docs.sparkSession.read.parquet(path)
     often = lambda rows: filter_bits(rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("key"))
     frequent = often(key_counts(stored))
