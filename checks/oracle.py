@@ -660,6 +660,15 @@ POINT = f"geolocation_zip_code_prefix, {r('geolocation_lat')}, {r('geolocation_l
 FLAGS = f"{POINT}, {r('dist_from_zip_median_km')}, is_coord_outlier, is_duplicate_row"
 JUDGED = f"""name, {r('mae')}, {r('test_mae')}, {r('margin')}, {r('mae_limit')}, over_limit, {big('n_drifted')}, psi_text,
   {big('n_days')}, {big('streak')}, {big('code')}, verdict, retrain"""
+def sketch_rows(table: str, by: str, columns: dict[str, bool]) -> str:
+    """Exact counts of every group and column; estimates have to lie within their bounds."""
+    return " UNION ALL ".join(
+        f"""SELECT {by}, '{c}' AS "column", {big('count(*)', 'n')}, {big(f'count(DISTINCT {c})', 'n_distinct')},
+  TRUE AS distinct_within, {f'CASE WHEN count({c}) > 0 THEN TRUE END' if numeric else 'NULL::BOOLEAN'} AS quantiles_within FROM {table} GROUP BY 1"""
+        for c, numeric in columns.items()
+    )
+
+
 DRIFT_ALERTS = """SELECT name || ': ' || lower(verdict) AS title, substr('inputs, drifted above 0.2: ' || psi_text || '; ' ||
   printf('error %.2f days against %.2f in the test; allowed %.2f (%.2f more)', round(mae, 2), round(test_mae, 2), round(mae_limit, 2), margin) ||
   printf('; days above that in a row: %d; ', CAST(streak AS BIGINT)) ||
@@ -956,6 +965,11 @@ UNION ALL SELECT 'all rows', count(*), CAST(count(*) FILTER (order_id % 97 = 0 O
     "mae_streak": streak_rows("y_daily"),
     "mae_streak_uneven": streak_rows("y_uneven"),
     "stream_mae_streak": streak_rows("y_closed", LAST_RUN),
+    "request_sketches": sketch_rows("t_log", "model_version", {"latency_ms": True, "event_id": False, "status": False}),
+    "order_sketches": sketch_rows("d_orders", "strftime(order_purchase_timestamp, '%Y') AS year", {
+        **{c: True for c in ("distance_km", "total_price", "total_freight", "total_weight_g", "delivery_days")},
+        "customer_id": False, "customer_state": False, "order_id": False,
+    }),
     "request_metrics": f"""SELECT {LOG_COLUMNS}, model_version FROM (
   {log_metrics("'all' AS model_version")} FROM t_log UNION ALL {log_metrics("model_version")} FROM t_log GROUP BY model_version)""",
     "request_last_1000": f"""SELECT {big('requests_total')}, {big('errors_total')}, {big('rejected_total')}, {r('p50')}, {r('p95')},

@@ -26,6 +26,7 @@ from parcelwise.operators import (
     profile,
     runs,
     service,
+    sketches,
     splits,
 )
 from parcelwise.operators.features import CATEGORIES, NUMBERS, TARGET, add_features, time_features
@@ -893,6 +894,31 @@ def request_metrics_approx(spark, folder):
     return service.request_metrics_approx(standins.request_log(spark, folder), ["model_version"])
 
 
+@query
+def request_sketches(spark, folder):
+    """Latencies and events per model from sketches kept per day and merged: exact counts, and whether estimates hold their bounds."""
+    log = standins.request_log(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    columns = {"latency_ms": True, "event_id": False, "status": False}
+    path = new_path(spark, "request-sketches")
+    kept.keep(sketches.sketched(log, columns, ["day", "model_version"]), path, "run-1", by=["day"])
+    stored = kept.kept(spark, path, f"day STRING, model_version STRING, {sketches.SKETCHES}")
+    found = sketches.estimates(sketches.merged(stored, ["model_version"]), [0.5, 0.95])
+    return sketches.checked(log, found, columns, [0.5, 0.95], ["model_version"])
+
+
+@query
+def order_sketches(spark, folder):
+    """Columns of the order table from sketches per month, merged per year: exact counts, and whether estimates hold their bounds."""
+    table = stored_order_table(spark, folder)
+    table = table.withColumns({p: F.date_format("order_purchase_timestamp", f) for p, f in (("month", "yyyy-MM"), ("year", "yyyy"))})
+    columns = {**{c: True for c in DESCRIBED}, "customer_id": False, "customer_state": False, "order_id": False}
+    path = new_path(spark, "order-sketches")
+    kept.keep(sketches.sketched(table, columns, ["year", "month"]), path, "run-1", by=["month"])
+    stored = kept.kept(spark, path, f"year STRING, month STRING, {sketches.SKETCHES}")
+    found = sketches.estimates(sketches.merged(stored, ["year"]), [0.25, 0.5, 0.75])
+    return sketches.checked(table, found, columns, [0.25, 0.5, 0.75], ["year"])
+
+
 @query
 def request_last_1000(spark, folder):
     return service.service_status(standins.request_log(spark, folder))
