@@ -810,6 +810,12 @@ FROM q_requests WHERE order_id NOT IN (SELECT order_id FROM q_reasons)""",
   {r(f'quantile_cont({c}, 0.75)', 'q75')}, {r(f'max({c})', '"max"')} FROM d_orders"""
         for c in DESCRIBED
     ),
+    "describe_tables": " UNION ALL ".join(
+        f"""SELECT '{n}' AS table_name, '{c}' AS "column", {big(f'count({c})', 'n')}, {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')},
+  {r(f'min({c})', '"min"')}, {r(f'quantile_cont({c}, 0.25)', 'q25')}, {r(f'quantile_cont({c}, 0.5)', 'q50')},
+  {r(f'quantile_cont({c}, 0.75)', 'q75')}, {r(f'max({c})', '"max"')} FROM {t}"""
+        for n, (t, columns) in COLUMNS.items() for c, kind in columns.items() if kind in ("bigint", "double", "int")
+    ),
     "describe_text": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", {big(f'count({c})', 'n')}, {big(f'count(DISTINCT {c})', 'n_distinct')},
   (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS top,

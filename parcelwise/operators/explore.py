@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from parcelwise.functions.order_stats import match, medians, percentiles, smallest
 from parcelwise.functions.scalar import hash_key, holds, item_group, late_bin_label, right_closed_bin, satisfaction
@@ -83,18 +84,29 @@ def profile_columns_approx(df: DataFrame, columns: Sequence[str] | None = None)
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum per numeric column."""
-    cells = _as_long(df, columns, "double")
-    moments = cells.groupBy("column").agg(
+    return _described(_as_long(df, columns, "double"), ["column"])
+
+
+def describe_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """The same for all numeric columns of several tables, in one pass over the values of all of them."""
+    parts = []
+    for name, df in tables.items():
+        numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+        if numbers:
+            parts.append(_as_long(df, numbers, "double").withColumn("table_name", F.lit(name)))
+    return _described(reduce(DataFrame.unionByName, parts), ["table_name", "column"])
+
+
+def _described(cells: DataFrame, by: list[str]) -> DataFrame:
+    moments = cells.groupBy(*by).agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = percentiles(cells, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=["column"])
-    return match(moments, quartiles, ["column"], "left").select(
-        "column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    quartiles = percentiles(cells, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by=by)
+    return match(moments, quartiles, by, "left").select(*by, "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def describe_numeric_approx(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:

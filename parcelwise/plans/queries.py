@@ -372,6 +372,12 @@ def describe_numeric(spark, folder):
     return explore.describe_numeric(stored_order_table(spark, folder), DESCRIBED)
 
 
+@query
+def describe_tables(spark, folder):
+    """All numeric columns of all raw tables."""
+    return explore.describe_tables(standins.raw_tables(spark, folder))
+
+
 @query
 def describe_numeric_approx(spark, folder):
     return explore.describe_numeric_approx(stored_order_table(spark, folder), DESCRIBED)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.functions.scalar import nan_to_null
+from parcelwise.functions.scalar import number_or_null, parse_timestamp
 
 # Columns and types of the raw tables. Zip prefixes are text from the scan on.
 RAW_TABLES: dict[str, dict[str, str]] = {
@@ -132,11 +132,9 @@ def typed(df: DataFrame, columns: Mapping[str, str], rescue: bool = False) -> Da
     """
     out, cells = [], []
     for name, kind in columns.items():
-        value = F.col(name).try_cast(kind)
-        text = F.col(name).cast("string")
-        cells.append(F.struct(F.lit(name), F.when(value.isNull() & (F.trim(text) != ""), text)))
-        if kind == "double":
-            value = nan_to_null(value)
+        raw, text = F.col(name).try_cast(kind), F.col(name).cast("string")
+        cells.append(F.struct(F.lit(name), F.when(raw.isNull() & (F.trim(text) != ""), text)))
+        value = {"double": number_or_null, "timestamp": parse_timestamp}.get(kind, lambda _: raw)(name)
         out.append(value.alias(name))
     if not rescue:
         return df.select(*out)
