@@ -9,6 +9,7 @@ from parcelwise.llm.sharding import BUCKETS, PRIME, ROUNDS, round_keys
 from parcelwise.llm.termsearch import BEST as BEST_DOCUMENTS
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -60,7 +61,7 @@ FROM grid JOIN places USING (n)
 
 _OP6 = f"""
 WITH doc_words AS (
-  SELECT row_number() OVER () AS d, doc_id,
+  SELECT row_number() OVER () AS d, doc_id, text,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM documents),
 item_words AS (
@@ -74,13 +75,26 @@ places AS (
   FROM (SELECT d, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM doc_words, (SELECT DISTINCT size FROM windows)
     WHERE len(w) >= size)),
 found AS (SELECT d, item_id, pos, places.size AS size FROM places JOIN windows USING (phrase, size)),
-hits AS (SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(range(pos, pos + size)) AS p FROM found) GROUP BY d),
+places_hit AS (SELECT DISTINCT d, p FROM (SELECT d, unnest(range(pos, pos + size)) AS p FROM found)),
+hits AS (SELECT d, count(*) AS n_hit FROM places_hit GROUP BY d),
+-- Every word with what stands before it, whose lengths add up to the word's end.
+chunks AS (
+  SELECT d, unnest(c) AS chunk, unnest(range(1, len(c) + 1)) AS p
+  FROM (SELECT d, regexp_extract_all(text, '{BETWEEN}*{TERM}') AS c FROM doc_words WHERE d IN (SELECT d FROM hits))),
+ends AS (
+  SELECT d, p, CAST(sum(length(chunk)) OVER (PARTITION BY d ORDER BY p) AS BIGINT) AS stop, length(regexp_extract(chunk, '{TERM}')) AS size
+  FROM chunks),
+islands AS (
+  SELECT d, p, p - row_number() OVER (PARTITION BY d ORDER BY p) AS island FROM places_hit),
+span_rows AS (SELECT d, min(stop - size) AS a, max(stop) AS b FROM islands JOIN ends USING (d, p) GROUP BY d, island),
+spans AS (SELECT d, count(*) AS n_spans, string_agg(a || ':' || b, ',' ORDER BY a) AS listed FROM span_rows GROUP BY d),
 items AS (
   SELECT d, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT d, coalesce(CAST(item_id AS VARCHAR), 'null') AS item FROM found) GROUP BY d)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
-FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d)
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated,
+  coalesce(n_spans, 0) AS n_spans, sha256(coalesce(listed, '')) AS spans_sha256
+FROM doc_words LEFT JOIN hits USING (d) LEFT JOIN items USING (d) LEFT JOIN spans USING (d)
 """
 
 
