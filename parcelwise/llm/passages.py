@@ -5,8 +5,9 @@ exactly the union of all such windows of words that stood before, in the order o
 left to right. Words are what blanks part, compared by 64-bit hashes.
 
 Each window of words holds ``MIN_WORDS`` - GRAM + 1 grams; the least gram hash (the first of equals) is its fingerprint, so
-equal windows choose the same one. Fingerprints found once end there. Only windows around the others go on, as one row of
-fixed size each: their content meets its first occurrence, which is found before the join.
+equal windows choose the same one. Fingerprints found once end there. For the others there is one row per place, with all the
+windows that choose it. A place that equals an earlier document's, in all these windows, is settled at once; for one place of each
+kind the windows meet their first occurrences, which are found before the join.
 
 Defined cases: a null text has no words and stays null; a window that overlaps its own first occurrence loses only what lies
 beyond; equal rows (same doc_id and text) count as one document; a null doc_id comes first; an empty table gives an
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -31,6 +32,7 @@ MIN_WORDS = 50
 # Windows compared at once while fingerprints are chosen, and rows handed on at once.
 BLOCK = 8192
 OUT_ROWS = 1 << 17
+OUT_PLACES = 1 << 13
 # 8 MB go to the tasks, however many fingerprints there are.
 FILTER_BITS = 26
 
@@ -130,32 +132,96 @@ def found_twice(marks: DataFrame) -> np.ndarray:
     return out
 
 
-def windows(docs: DataFrame, text: str, min_words: int, marked: np.ndarray) -> DataFrame:
-    """The windows of words around fingerprints of the filter: hash of the content, and first word."""
+def whole_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the words of every range, their number included."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64)])
+    out = (total[stop] - total[start]) * _powers(pow(_BASE, -1, 1 << 64), len(hashes) + 1)[start] + (stop - start).astype(np.uint64)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        out = (out ^ (out >> np.uint64(33))) * np.uint64(factor)
+    return out ^ (out >> np.uint64(33))
+
+
+def ranges_of(hashes: np.ndarray, min_words: int, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The chosen places of the filter: the first window that chooses each, how many do, a hash of all their words, and the
+    hashes of the windows themselves, those of one place after those of the one before."""
+    at, found = chosen(hashes, min_words)
+    if not len(at):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    slot = found & ((1 << FILTER_BITS) - 1)
+    good = (bits[slot >> 6] >> (slot & 63)) & 1 == 1
+    # The windows that choose one place follow each other.
+    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    stop = np.append(start[1:], len(at))
+    start, stop, windows = start[good[start]], stop[good[start]], rolling(hashes, min_words).view(np.int64)[good]
+    return start, stop - start, whole_hash(hashes, start, stop - 1 + min_words).view(np.int64), windows
+
+
+RANGES = "whole LONG, start INT, windows ARRAY<LONG>"
+
+
+def ranges(docs: DataFrame, text: str, min_words: int, marked: np.ndarray) -> DataFrame:
+    """One row per chosen place of the filter: all the windows of words that choose it."""
+    rows, sent = _named(docs, text), share(docs, marked)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared(sent)
+        for batch in batches:
+            names = batch.select(["doc_id", "text_key"])
+            for begin, end in pieces(batch, "text"):
+                for place, body in enumerate(texts(batch, "text", begin, end), begin):
+                    start, count, whole, windows = ranges_of(word_hashes(body), min_words, bits)
+                    edges = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                    for i in range(0, len(start), OUT_PLACES):
+                        part = slice(i, i + OUT_PLACES)
+                        own = edges[i : i + len(start[part]) + 1]
+                        lists = pa.ListArray.from_arrays(pa.array(own - own[0]), pa.array(windows[own[0] : own[-1]]))
+                        keys = names.take(pa.array(np.full(len(start[part]), place)))
+                        numbers = [pa.array(whole[part]), pa.array(start[part].astype(np.int32)), lists]
+                        yield pa.RecordBatch.from_arrays([*keys.columns, *numbers], names=[*names.schema.names, "whole", "start", "windows"])
+
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key LONG, {RANGES}")
 
-    def per_text(body: bytes, bits: np.ndarray):
-        hashes = word_hashes(body)
-        slot = chosen(hashes, min_words)[1] & ((1 << FILTER_BITS) - 1)
-        start = np.flatnonzero((bits[slot >> 6] >> (slot & 63)) & 1)
-        return rolling(hashes, min_words).view(np.int64)[start], start
 
-    return _rows(_named(docs, text), "content LONG, start INT", per_text, share(docs, marked))
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
+
+
+def _same() -> Column:
+    """Whether a row and the first occurrence it met are of one document."""
+    return F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
+
+
+FIRST = "at.doc_id AS o_id", "at.text_key AS o_key", "at.start AS o_start"
 
 
 def repeats(docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """Per document with later repeated windows, ``_p_words``: word numbers (end exclusive), not merged."""
+    """Per document with later repeated windows, ``_p_words``: word numbers (end exclusive), not merged.
+
+    A place whose windows all stand in an earlier document, word for word, is settled as a whole. What is compared
+    window by window is one place of each kind, and places that repeat inside a document.
+    """
     marked = found_twice(fingerprints(docs, text, min_words))
-    found = cut_lineage(windows(docs, text, min_words, marked), "passage-windows")
-    here = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
-    first = found.groupBy("content").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = first.selectExpr("content", "at.doc_id AS o_id", "at.text_key AS o_key", "at.start AS o_start")
-    # Written, so that a window that very many documents hold can be split in the join.
-    first = cut_lineage(first, "passage-firsts")
-    same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
-    later = found.join(first, "content").where(~(same & (F.col("start") == F.col("o_start"))))
-    begin = F.when(same, F.greatest("start", F.col("o_start") + min_words)).otherwise(F.col("start"))
-    spans = F.collect_list(F.struct(begin.alias("first"), (F.col("start") + min_words).alias("stop")))
-    return later.groupBy("doc_id", "text_key").agg(spans.alias("_p_words"))
+    found = cut_lineage(ranges(docs, text, min_words, marked), "passage-places")
+    first = found.groupBy("whole").agg(F.min(F.struct(_place().alias("at"), "windows")).alias("first"), F.count(F.lit(1)).alias("n"))
+    # Written, so that a passage that very many documents hold can be split in the join.
+    first = cut_lineage(first.selectExpr("whole", "first.at AS at", "first.windows AS windows", "n"), "passage-firsts")
+    again = first.where("n > 1").selectExpr("whole", *FIRST)
+    size = F.size("windows").cast("int") - 1 + min_words
+    later = found.withColumn("stop", F.col("start") + size).drop("windows").join(again, "whole")
+    settled = later.where(~_same()).select("doc_id", "text_key", F.col("start").alias("begin"), "stop")
+    inside = later.where(_same() & (F.col("start") != F.col("o_start"))).join(first.select("whole", "windows"), "whole")
+    alone = first.selectExpr("at.doc_id AS doc_id", "at.text_key AS text_key", "at.start AS start", "windows")
+    each = alone.unionByName(inside.select("doc_id", "text_key", "start", "windows"))
+    each = each.select("doc_id", "text_key", F.col("start").alias("_at"), F.posexplode("windows").alias("_i", "content"))
+    each = each.select("doc_id", "text_key", "content", (F.col("_at") + F.col("_i")).alias("start"))
+    least = each.groupBy("content").agg(F.min(_place()).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = cut_lineage(least.selectExpr("content", *FIRST), "passage-windows")
+    met = each.join(least, "content").where(~(_same() & (F.col("start") == F.col("o_start"))))
+    begin = F.when(_same(), F.greatest("start", F.col("o_start") + min_words)).otherwise(F.col("start"))
+    single = met.select("doc_id", "text_key", begin.alias("begin"), (F.col("start") + min_words).alias("stop"))
+    spans = F.collect_list(F.struct(F.col("begin").alias("first"), "stop"))
+    return settled.unionByName(single).groupBy("doc_id", "text_key").agg(spans.alias("_p_words"))
 
 
 def merged(first: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:

@@ -48,6 +48,34 @@ def test_random_documents(spark, seed):
         assert (r["cut_text"] or "").split() == kept and (r["cut_text"] is None) == (r["text"] is None)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_copies_near_copies_and_repeats_inside(spark, seed, monkeypatch):
+    """Groups of copies settle as wholes; copies with edits and texts that repeat themselves are compared window by window."""
+    monkeypatch.setattr(passages, "OUT_PLACES", 3)
+    draw = random.Random(100 + seed)
+    words = [f"w{i}" for i in range(400)]
+    base = [draw.choices(words, k=draw.randrange(5, 60)) for _ in range(6)]
+    docs = []
+    for i in range(70):
+        own = list(draw.choice(base))
+        if draw.random() < 0.4:  # an edit
+            own[draw.randrange(len(own))] = f"e{i}"
+        if draw.random() < 0.2:
+            own = own + draw.choice([own, own[: len(own) // 2], draw.choice(base)])
+        if draw.random() < 0.1:
+            own = own * 3
+        docs.append((None if i == 69 else (i * 37) % 71, " ".join(own)))
+    docs.append((200, "a " * 100))
+    docs.append((201, "b " + "a " * 100))
+    rows = passages.cut(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), min_words=12).collect()
+    want = plain(sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)), 12)
+    assert len(want) > 40
+    for r in rows:
+        found = [w for w in passages._WORD.finditer(r["text"])]
+        gone = {n for n, w in enumerate(found) if any(s["start"] <= w.start() and w.end() <= s["end"] for s in r["passages"])}
+        assert gone == want.get(r["doc_id"], set()), r["doc_id"]
+
+
 def test_the_query_catches_a_passage_inside_lines(spark, tmp_path):
     from parcelwise.llm.queries import op10_linededup
 
