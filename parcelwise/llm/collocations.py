@@ -223,9 +223,6 @@ class Phrases:
     def __init__(self, words: np.ndarray, count: np.ndarray, here: np.ndarray, there: np.ndarray):
         self.words, self.count, self.here, self.there = words, count, here, there
 
-    def only(self, keep: np.ndarray) -> Phrases:
-        return Phrases(self.words[keep], self.count[keep], self.here[keep], self.there[keep])
-
     def turned(self) -> Phrases:
         return Phrases(self.words[:, ::-1], self.count, self.there, self.here)
 
@@ -243,17 +240,15 @@ def extended(side: Side, phrases: Phrases) -> Phrases:
     return Phrases(words, count, side.start[symbol] + before, phrases.there[which] + moved)
 
 
-def enumerated(symbols: np.ndarray, largest: int, depth: int, keep=None) -> Iterator[Phrases]:
+def enumerated(symbols: np.ndarray, largest: int, depth: int) -> Iterator[Phrases]:
     """The phrases of two to ``depth`` words of a sequence that ends in a break, one length at a time.
 
-    ``keep`` says by their words which phrases of two count; a longer one is kept if all its neighbours are. Extension
-    goes to the left and to the right in turn; only the direction in use is held.
+    Extension goes to the left and to the right in turn; only the direction in use is held.
     """
     here = Side(symbols, largest, depth - 1)
     start = np.cumsum(here.count) - here.count
     known = np.flatnonzero(here.count[1:]) + 1
     found = Phrases(known[:, None], here.count[known], start[known], start[known])
-    pairs = np.zeros(0, np.int64)
     for length in range(2, depth + 1):
         forward = length % 2 == 0
         if length > 2:
@@ -262,16 +257,6 @@ def enumerated(symbols: np.ndarray, largest: int, depth: int, keep=None) -> Iter
             here = Side(symbols if forward else np.concatenate([symbols[-2::-1], symbols[-1:]]), largest, depth - 1)
             found = found.turned()
         found = extended(here, found)
-        # The two words of the new end, in reading order.
-        first, second = (found.words[:, 0], found.words[:, 1]) if forward else (found.words[:, 1], found.words[:, 0])
-        if length == 2:
-            if keep is not None:
-                found = found.only(keep(first, second))
-                pairs = np.sort(found.words[:, 0] * (largest + 1) + found.words[:, 1])
-        elif keep is not None:
-            code = first * (largest + 1) + second
-            at = np.minimum(np.searchsorted(pairs, code), max(0, len(pairs) - 1))
-            found = found.only(pairs[at] == code if len(pairs) else np.zeros(len(code), bool))
         yield found if forward else found.turned()
 
 
@@ -334,6 +319,23 @@ def _frequent_symbols(words: list[bytes], ids: np.ndarray, keys: np.ndarray, bit
     return symbols[np.concatenate([[True], (symbols[1:] > 0) | (symbols[:-1] > 0)])], left
 
 
+def paired(symbols: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of a sequence in which all neighbours are good pairs, a break after each, and the words left in them.
+
+    Phrases in these stretches are those whose neighbours all are good, with the counts they have in the whole.
+    """
+    good = good & (symbols[:-1] > BREAK) & (symbols[1:] > BREAK)
+    follows, before = np.append(good, False), np.concatenate([[False], good])
+    kept = np.flatnonzero(follows | before)
+    last = ~follows[kept]
+    out = np.zeros(len(kept) + np.count_nonzero(last) + (not len(kept)), np.int32)
+    used = np.flatnonzero(np.bincount(symbols[kept]))
+    new = np.zeros(int(symbols.max(initial=0)) + 1, np.int32)
+    new[used] = np.arange(1, len(used) + 1)
+    out[np.arange(len(kept)) + np.cumsum(last) - last] = new[symbols[kept]]
+    return out, used
+
+
 def pair_counts(stored: DataFrame, frequent: np.ndarray) -> DataFrame:
     """(key, n): the phrases of two frequent words of every shard, by hash."""
     sent = share(stored, frequent)
@@ -360,11 +362,12 @@ def phrase_counts(stored: DataFrame, frequent: np.ndarray, pairs: np.ndarray, ma
             keys = hashes(lang, words)
             symbols, left = _frequent_symbols(words, ids, keys, bits)
             own = np.concatenate([keys[:1], keys[left]])
-            text = ["", *[words[i - 1].decode(errors="replace") for i in left.tolist()]]
-            keep = lambda a, b: among(both, mixed(own[a], own[b]))
+            text = [words[i - 1].decode(errors="replace") for i in left.tolist()]
             alone = np.bincount(symbols, minlength=len(left) + 1)[1:]
-            yield from named(lang, text, np.arange(1, len(left) + 1)[:, None], alone)
-            for found in enumerated(symbols, len(left), max_words, keep):
+            yield from named(lang, text, np.arange(len(left))[:, None], alone)
+            symbols, used = paired(symbols, among(both, mixed(own[symbols[:-1]], own[symbols[1:]])))
+            text = ["", *[text[i - 1] for i in used.tolist()]]
+            for found in enumerated(symbols, len(used), max_words):
                 yield from named(lang, text, found.words, found.count)
 
     return stored.select("lang", "words", "ids").mapInArrow(work, "named STRING, n LONG")
