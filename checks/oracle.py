@@ -769,6 +769,12 @@ BODIES: dict[str, str] = {
   {ts('order_delivered_customer_date')}, {big('delivery_days')}, {POINT}
 FROM l_customers LEFT JOIN d_kept ON l_customers.customer_id = d_kept.customer_id
 LEFT JOIN g_zips ON customer_zip_code_prefix = geolocation_zip_code_prefix""",
+    "customer_order_clash": """SELECT l_customers.customer_id, order_id, customer_city, customer_state,
+  'sent ' || order_id AS customer_city_order, CASE WHEN order_id IS NOT NULL THEN 'XX' END AS customer_state_order
+FROM l_customers LEFT JOIN d_kept ON l_customers.customer_id = d_kept.customer_id""",
+    "rejection_texts": f"""SELECT value, {big('count(*)', 'n')} FROM (
+  SELECT trim(regexp_replace('a ' || chr(9) || ' b' || chr(10) || chr(10) || '  c ', '\\s+', ' ', 'g')) || ' ' AS value
+  FROM q_requests WHERE n_items = 'abc') GROUP BY value""",
     "data_gaps": f"""SELECT {big('count(*)', 'n_orders')}, {big('sum(a)', 'missing_customer_point')},
   {big('sum(b)', 'missing_seller_point')}, {big('sum(CAST(c > 1 AS BIGINT))', 'several_sellers')}
 FROM (SELECT max(CAST(customer_lat IS NULL AS BIGINT)) AS a, max(CAST(seller_lat IS NULL AS BIGINT)) AS b,

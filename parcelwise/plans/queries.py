@@ -225,6 +225,26 @@ def customer_order_geo(spark, folder):
     return lookups.customers_with_orders(people, kept, geo.zip_points(geo.clean_points(points)))
 
 
+@query
+def customer_order_clash(spark, folder):
+    """The same with orders that carry a city and a state of their own, as sent with the order: they get the suffix."""
+    people, heads, reviews, points = _raw(spark, folder, "customers", "orders", "order_reviews", "geolocation")
+    sent = {"customer_city": F.concat(F.lit("sent "), F.col("order_id")), "customer_state": F.lit("XX")}
+    kept_orders = orders.delivered_orders(heads, reviews).withColumns(sent)
+    found = lookups.customers_with_orders(people, kept_orders, geo.zip_points(geo.clean_points(points)))
+    return found.select("customer_id", "order_id", "customer_city", "customer_state", "customer_city_order", "customer_state_order")
+
+
+@query
+def rejection_texts(spark, folder):
+    """Reasons of rejected requests whose bad cells hold runs of blanks: each run is one blank in the alert."""
+    torn = F.when(F.col("n_items") == "abc", "a \t b\n\n  c ").otherwise(F.col("n_items"))
+    checked = contract.check(_requests(spark, folder).withColumn("n_items", torn), payload=True)
+    found = alerts.rejection_alerts(checked, "order_id").where(F.col("detail").contains("n_items: coercion"))
+    reason = F.regexp_extract("detail", r"n_items: coercion \(([^)]*)\)", 1)
+    return found.groupBy(reason.alias("value")).agg(F.count("*").alias("n"))
+
+
 @query
 def data_gaps(spark, folder):
     return integrity.data_gaps(_items(spark, folder))
