@@ -21,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from parcelwise.llm.common import BLANKS, pieces, share, shared, text_key, texts, with_fields, without
-from parcelwise.session import cut_lineage
+from parcelwise.llm.common import BLANKS, pieces, release, share, shared, text_key, texts, with_fields, without
+from parcelwise.session import new_path
 
 MIN_WORDS = 50
 # Windows compared at once while fingerprints are chosen, and rows handed on at once.
@@ -183,6 +183,20 @@ def ranges(docs: DataFrame, text: str, min_words: int, marked: np.ndarray) -> Da
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key LONG, {RANGES}")
 
 
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table written to the shared folder and read back, and where it is."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of this job that nothing reads any more, and let Spark delete its shuffle files."""
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    release(spark)
+
+
 def _place() -> Column:
     return F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
 
@@ -202,10 +216,11 @@ def repeats(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     window by window is one place of each kind, and places that repeat inside a document.
     """
     marked = found_twice(fingerprints(docs, text, min_words))
-    found = cut_lineage(ranges(docs, text, min_words, marked), "passage-places")
+    found, places = _written(ranges(docs, text, min_words, marked), "passage-places")
     first = found.groupBy("whole").agg(F.min(F.struct(_place().alias("at"), "windows")).alias("first"), F.count(F.lit(1)).alias("n"))
     # Written, so that a passage that very many documents hold can be split in the join.
-    first = cut_lineage(first.selectExpr("whole", "first.at AS at", "first.windows AS windows", "n"), "passage-firsts")
+    first, firsts = _written(first.selectExpr("whole", "first.at AS at", "first.windows AS windows", "n"), "passage-firsts")
+    release(docs.sparkSession)
     again = first.where("n > 1").selectExpr("whole", *FIRST)
     size = F.size("windows").cast("int") - 1 + min_words
     later = found.withColumn("stop", F.col("start") + size).drop("windows").join(again, "whole")
@@ -216,12 +231,15 @@ def repeats(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     each = each.select("doc_id", "text_key", F.col("start").alias("_at"), F.posexplode("windows").alias("_i", "content"))
     each = each.select("doc_id", "text_key", "content", (F.col("_at") + F.col("_i")).alias("start"))
     least = each.groupBy("content").agg(F.min(_place()).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    least = cut_lineage(least.selectExpr("content", *FIRST), "passage-windows")
+    least, windows = _written(least.selectExpr("content", *FIRST), "passage-windows")
     met = each.join(least, "content").where(~(_same() & (F.col("start") == F.col("o_start"))))
     begin = F.when(_same(), F.greatest("start", F.col("o_start") + min_words)).otherwise(F.col("start"))
     single = met.select("doc_id", "text_key", begin.alias("begin"), (F.col("start") + min_words).alias("stop"))
     spans = F.collect_list(F.struct(F.col("begin").alias("first"), "stop"))
-    return settled.unionByName(single).groupBy("doc_id", "text_key").agg(spans.alias("_p_words"))
+    out, _ = _written(settled.unionByName(single).groupBy("doc_id", "text_key").agg(spans.alias("_p_words")), "passage-words")
+    # The result is written, so what it was made from can go before the texts are shuffled.
+    _remove(docs.sparkSession, [places, firsts, windows])
+    return out
 
 
 def merged(first: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:

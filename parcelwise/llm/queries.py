@@ -119,7 +119,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later repeated runs in all documents: of whole lines, and of words wherever they begin."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    words = cut_lineage(passages.repeats(docs, "text", passages.MIN_WORDS), "passage-words")
+    words = passages.repeats(docs, "text", passages.MIN_WORDS)
     found = linededup.deduplicated(docs, beside=words).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
     found = passages.applied(found)
     spans = F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
