@@ -3,8 +3,8 @@
 Lines that hold a word are hashed (words joined by single blanks). A window starts at every such line and runs over as
 few lines as hold ``MIN_WORDS`` words. The least line hash of each window (the last one of equals) is its fingerprint: windows of the
 same lines choose the same one, so a run of ``MIN_WORDS`` words that two documents share always shows as a
-fingerprint found twice. Only windows around such fingerprints go on; they meet the first occurrence of their
-whole content, the match is extended both ways line by line, and the later run goes.
+fingerprint found twice. Only windows around such fingerprints are handed on (by a filter of bounded size, ``winnow``); they
+meet the first occurrence of their whole content, the match is extended both ways line by line, and the later run goes.
 
 Documents come in the order of (doc_id, text); the first occurrence stays. Beyond the window, lines are compared as far as
 ``MIN_WORDS`` words reach: what is equal beyond that lies in a window of its own. Occurrences of one window, however
@@ -17,87 +17,22 @@ as one document and stay all; a null doc_id comes first; an empty table gives an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
-from parcelwise.llm.common import pieces, text_key, texts, without
+from parcelwise.llm import winnow
+from parcelwise.llm.common import text_key, without
 from parcelwise.session import cut_lineage
 
 MIN_WORDS = 50
 
-WINDOWS = (
-    "fingerprint LONG, chosen BOOLEAN, content LONG, start INT, stop INT, inside ARRAY<INT>, "
-    "before ARRAY<STRUCT<hash: LONG, line: INT>>, after ARRAY<STRUCT<hash: LONG, line: INT>>"
-)
-CONTEXT = pa.list_(pa.struct([("hash", pa.int64()), ("line", pa.int32())]))
-KINDS = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), CONTEXT, CONTEXT]
-NAMES = ["fingerprint", "chosen", "content", "start", "stop", "inside", "before", "after"]
-
-
-def signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
 
 def windows_of(text: bytes, min_words: int = MIN_WORDS) -> list[tuple]:
-    """The windows of a text, as rows of ``WINDOWS``.
-
-    ``start`` and ``stop`` count lines with a word, ``line`` and ``inside`` number all lines. ``chosen`` marks the first
-    window with a given fingerprint line, so that each such line counts once.
-    """
-    hashes, lines, sizes = [], [], []
-    for number, line in enumerate(text.split(b"\n")):
-        words = line.split()
-        if words:
-            hashes.append(signed(xxh3_64_intdigest(b" ".join(words))))
-            lines.append(number)
-            sizes.append(len(words))
-    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    # The first place at which the window from each start is complete; how far contexts reach.
-    stops = np.searchsorted(total, total[:-1] + min_words).tolist()
-    backs = np.maximum(np.searchsorted(total, total - min_words, side="right") - 1, 0).tolist()
-    out = []
-    count, last = len(hashes), -1
-    for start, stop in enumerate(stops):
-        if stop > count:
-            break
-        own = hashes[start:stop]
-        least = min(own)
-        at = stop - 1 - own[::-1].index(least)
-        content = signed(xxh3_64_intdigest(b"".join([h.to_bytes(8, "big", signed=True) for h in own])))
-        reach = min(count, stops[stop] if stop < count else count)
-        before = [{"hash": hashes[i], "line": lines[i]} for i in range(start - 1, backs[start] - 1, -1)]
-        after = [{"hash": hashes[i], "line": lines[i]} for i in range(stop, reach)]
-        out.append((least, at != last, content, start, stop, lines[start:stop], before, after))
-        last = at
-    return out
-
-
-def windowed(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per window of every document (``doc_id`` and ``text_key`` name it)."""
-    rows = docs.select("doc_id", text_key(text).alias("text_key"), F.col(text).alias("text"))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end in pieces(batch, "text"):
-                at: list[int] = []
-                found: list[tuple] = []
-                for place, body in enumerate(texts(batch, "text", begin, end)):
-                    own = windows_of(body, min_words)
-                    at += [place] * len(own)
-                    found += own
-                keys = batch.slice(begin, end - begin).select(["doc_id", "text_key"]).take(pa.array(at, pa.int64()))
-                columns = list(zip(*found)) if found else [[] for _ in KINDS]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys.columns, *[pa.array(c, k) for c, k in zip(columns, KINDS)]], names=["doc_id", "text_key", *NAMES]
-                )
-
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key LONG, {WINDOWS}"
-    return rows.mapInArrow(work, schema)
+    """The windows of a text: fingerprint, whether it is the first with this fingerprint line, hash of its lines, first
+    and last line (lines with a word counted, end exclusive)."""
+    words = winnow.words_of([text])
+    own = winnow.line_windows(words, winnow.hashes_of(words), min_words)
+    return list(zip(*[x.tolist() for x in (own.fingerprint, own.chosen, own.content, own.start, own.stop)]))
 
 
 def _equal_lines(mine: str, other: str) -> Column:
@@ -123,11 +58,9 @@ def _line_at(place: Column) -> Column:
 
 def matches(windows: DataFrame) -> DataFrame:
     """Runs of lines to delete: one row per later window, with its lines ``first`` to ``last``."""
-    twice = windows.where("chosen").groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    found = windows.join(twice.select("fingerprint"), "fingerprint", "left_semi")
     here = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
     first = (
-        found.groupBy("content")
+        windows.groupBy("content")
         .agg(
             F.min(F.struct(here.alias("at"), F.struct("stop", "before", "after").alias("rest"))).alias("first"),
             F.count(F.lit(1)).alias("n"),
@@ -146,7 +79,7 @@ def matches(windows: DataFrame) -> DataFrame:
     # Written, so that the join's two sides are plain tables: a window that very many documents hold is then split.
     first = cut_lineage(first, "line-firsts")
     same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
-    later = found.join(first, "content").where(~(same & (F.col("start") == F.col("o_start"))))
+    later = windows.join(first, "content").where(~(same & (F.col("start") == F.col("o_start"))))
     later = later.withColumn("ahead", _equal_lines("after", "o_after")).withColumn("back", _equal_lines("before", "o_before"))
     begin = F.col("start") - F.col("back")
     # Inside one document every line that goes equals one before it, down to the first occurrence.
@@ -159,9 +92,15 @@ def matches(windows: DataFrame) -> DataFrame:
     )
 
 
-def runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document with later repeated runs, ``spans`` of line numbers (both ends included), merged."""
-    windows = cut_lineage(windowed(docs, text, min_words), "line-windows")
+def runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, places: DataFrame | None = None) -> DataFrame:
+    """Per document with later repeated runs, ``spans`` of line numbers (both ends included), merged.
+
+    ``places`` are those of :func:`winnow.found` for these documents and ``min_words``; without them they are found here.
+    """
+    if places is None:
+        places, _ = winnow.found(docs, text, lines=min_words)
+    columns = "whole AS content", "start", "size AS stop", "inside", "before", "after"
+    windows = places.where("lines").selectExpr("doc_id", "text_key", *columns)
     # Overlapping and adjoining runs of a document become one; they are as many as its lines at most.
     by = Window.partitionBy("doc_id", "text_key").orderBy("first", "last")
     upto = F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1))
@@ -173,15 +112,19 @@ def runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> Dat
 
 
 def deduplicated(
-    docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, beside: DataFrame | None = None
+    docs: DataFrame,
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+    beside: DataFrame | None = None,
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """The documents with ``spans`` (deleted lines, numbered from 0, both ends included), ``n_lines``, ``n_removed``
     and ``kept_text``.
 
-    ``beside`` has further columns by (doc_id, text_key), which come along in the same join of the texts.
+    ``beside`` has further columns by (doc_id, text_key), which come along in the same join of the texts; ``places`` as in :func:`runs`.
     """
     rows = without(docs, ["spans", "n_lines", "n_removed", "kept_text"])
-    found, further = runs(docs, text, min_words), []
+    found, further = runs(docs, text, min_words, places), []
     if beside is not None:
         further = [c for c in beside.columns if c not in ("doc_id", "text_key")]
         other = beside.withColumnsRenamed({"doc_id": "_b_id", "text_key": "_b_key"})
@@ -197,11 +140,13 @@ def deduplicated(
     )
     names = [F.col(f"`{c}`") for c in [*rows.columns, *further]]
     none = F.array().cast("array<struct<first:int,last:int>>")
-    joined = joined.select(*names, F.coalesce("_spans", none).alias("spans"), F.split(text, "\n", -1).alias("_lines"))
+    joined = joined.select(*names, F.coalesce("_spans", none).alias("spans"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
     stays = F.filter(
-        "_lines", lambda line, i: ~F.exists("spans", lambda x: (i >= x["first"]) & (i <= x["last"]))
+        F.split(text, "\n", -1), lambda line, i: ~F.exists("spans", lambda x: (i >= x["first"]) & (i <= x["last"]))
     )
+    # Only texts that lose lines are taken apart.
     kept = F.when(F.size("spans") > 0, F.array_join(stays, "\n")).otherwise(F.col(text))
-    count = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long")
+    feeds = F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    count = F.coalesce(feeds + 1, F.lit(0)).cast("long")
     return joined.select(*names, "spans", count.alias("n_lines"), removed.alias("n_removed"), kept.alias("kept_text"))

@@ -6,8 +6,10 @@ left to right. Words are what blanks part, compared by 64-bit hashes.
 
 Each window of words holds ``MIN_WORDS`` - GRAM + 1 grams; the least gram hash (the first of equals) is its fingerprint, so
 equal windows choose the same one. Fingerprints found once end there. For the others there is one row per place, with all the
-windows that choose it. A place that equals an earlier document's, in all these windows, is settled at once; for one place of each
-kind the windows meet their first occurrences, which are found before the join.
+windows that choose it. A place that equals an earlier document's, in all these windows, is settled at once. Where all places of
+a fingerprint are equal, no other place has their windows, so those that repeat inside a document are settled too. Where they
+differ, the windows of one place of each kind, and of those that repeat inside, meet their first occurrences, which are found
+before the join.
 
 Defined cases: a null text has no words and stays null; a window that overlaps its own first occurrence loses only what lies
 beyond; equal rows (same doc_id and text) count as one document; a null doc_id comes first; an empty table gives an
@@ -21,182 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
-from parcelwise.llm.common import BLANKS, pieces, release, share, shared, text_key, texts, with_fields, without
-from parcelwise.session import new_path
+from parcelwise.llm.common import BLANKS, pieces, release, text_key, with_fields, without
+from parcelwise.llm.winnow import OUT_ROWS, STEP_BYTES, found, remove, words_of, written
 
 MIN_WORDS = 50
-# Windows compared at once while fingerprints are chosen, and rows handed on at once.
-BLOCK = 8192
-OUT_ROWS = 1 << 17
-OUT_PLACES = 1 << 13
-# 8 MB go to the tasks, however many fingerprints there are.
-FILTER_BITS = 26
+# Places handed on at once.
+OUT_PLACES = OUT_ROWS
 
-_BASE = 0x9E3779B97F4A7C15
 _WORD = re.compile(f"[^{BLANKS}]+")
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    return np.cumprod(np.full(count, base, dtype=np.uint64), dtype=np.uint64)
-
-
-def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` words."""
-    count = len(hashes) - size + 1
-    if count <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64)])
-    out = (total[size:] - total[:-size]) * _powers(pow(_BASE, -1, 1 << 64), count)
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        out = (out ^ (out >> np.uint64(33))) * np.uint64(factor)
-    return out ^ (out >> np.uint64(33))
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-
-
-def chosen(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of words the place and the hash of its least gram."""
-    size = max(1, min_words * 2 // 5)
-    grams, width = rolling(hashes, size), min_words - size + 1
-    if len(grams) < width:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, width)
-    at = np.concatenate([views[i : i + BLOCK].argmin(axis=1) for i in range(0, len(views), BLOCK)])
-    at += np.arange(len(at))
-    return at, grams[at].view(np.int64)
-
-
-def _named(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
-
-
-def _rows(rows: DataFrame, fields: str, per_text, sent=None) -> DataFrame:
-    """Rows of two numbers per text, in batches of bounded size, each with the name of its document."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = None if sent is None else shared(sent)
-        for batch in batches:
-            names = batch.select(["doc_id", "text_key"])
-            places, ones, twos, waiting = [], [], [], 0
-
-            def out():
-                keys = names.take(pa.array(np.concatenate(places)))
-                numbers = [pa.array(np.concatenate(ones)), pa.array(np.concatenate(twos).astype(np.int32))]
-                return pa.RecordBatch.from_arrays([*keys.columns, *numbers], names=list(schema_names))
-
-            for begin, end in pieces(batch, "text"):
-                for place, body in enumerate(texts(batch, "text", begin, end), begin):
-                    one, two = per_text(body, given)
-                    for i in range(0, len(one), OUT_ROWS):
-                        ones.append(one[i : i + OUT_ROWS])
-                        twos.append(two[i : i + OUT_ROWS])
-                        places.append(np.full(len(ones[-1]), place, dtype=np.int64))
-                        waiting += len(ones[-1])
-                        if waiting >= OUT_ROWS:
-                            yield out()
-                            places, ones, twos, waiting = [], [], [], 0
-            if waiting:
-                yield out()
-
-    schema_names = ["doc_id", "text_key", *[f.split()[0] for f in fields.split(", ")]]
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key LONG, {fields}")
-
-
-def fingerprints(docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """Each document's fingerprints, and at how many places it has them."""
-
-    def per_text(body: bytes, _):
-        at, found = chosen(word_hashes(body), min_words)
-        first = np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.zeros(0, dtype=bool)
-        return np.unique(found[first], return_counts=True)
-
-    return _rows(_named(docs, text), "fingerprint LONG, n INT", per_text).select("fingerprint", "n")
-
-
-def found_twice(marks: DataFrame) -> np.ndarray:
-    """The fingerprints found twice as a filter of ``FILTER_BITS`` bits; what it lets through beside them finds no equal."""
-    twice = marks.groupBy("fingerprint").agg(F.sum("n").alias("n")).where("n > 1")
-    slot = f"fingerprint & {(1 << FILTER_BITS) - 1}L"
-    rows = twice.groupBy(F.expr(f"cast(shiftright({slot}, 6) AS INT)").alias("word"))
-    rows = rows.agg(F.expr("bit_or(shiftleft(1L, cast(fingerprint & 63L AS INT)))").alias("bits")).toArrow()
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out
-
-
-def whole_hash(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the words of every range, their number included."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64)])
-    out = (total[stop] - total[start]) * _powers(pow(_BASE, -1, 1 << 64), len(hashes) + 1)[start] + (stop - start).astype(np.uint64)
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        out = (out ^ (out >> np.uint64(33))) * np.uint64(factor)
-    return out ^ (out >> np.uint64(33))
-
-
-def ranges_of(hashes: np.ndarray, min_words: int, bits: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The chosen places of the filter: the first window that chooses each, how many do, a hash of all their words, and the
-    hashes of the windows themselves, those of one place after those of the one before."""
-    at, found = chosen(hashes, min_words)
-    if not len(at):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
-    slot = found & ((1 << FILTER_BITS) - 1)
-    good = (bits[slot >> 6] >> (slot & 63)) & 1 == 1
-    # The windows that choose one place follow each other.
-    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    stop = np.append(start[1:], len(at))
-    start, stop, windows = start[good[start]], stop[good[start]], rolling(hashes, min_words).view(np.int64)[good]
-    return start, stop - start, whole_hash(hashes, start, stop - 1 + min_words).view(np.int64), windows
-
-
-RANGES = "whole LONG, start INT, windows ARRAY<LONG>"
-
-
-def ranges(docs: DataFrame, text: str, min_words: int, marked: np.ndarray) -> DataFrame:
-    """One row per chosen place of the filter: all the windows of words that choose it."""
-    rows, sent = _named(docs, text), share(docs, marked)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared(sent)
-        for batch in batches:
-            names = batch.select(["doc_id", "text_key"])
-            for begin, end in pieces(batch, "text"):
-                for place, body in enumerate(texts(batch, "text", begin, end), begin):
-                    start, count, whole, windows = ranges_of(word_hashes(body), min_words, bits)
-                    edges = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-                    for i in range(0, len(start), OUT_PLACES):
-                        part = slice(i, i + OUT_PLACES)
-                        own = edges[i : i + len(start[part]) + 1]
-                        lists = pa.ListArray.from_arrays(pa.array(own - own[0]), pa.array(windows[own[0] : own[-1]]))
-                        keys = names.take(pa.array(np.full(len(start[part]), place)))
-                        numbers = [pa.array(whole[part]), pa.array(start[part].astype(np.int32)), lists]
-                        yield pa.RecordBatch.from_arrays([*keys.columns, *numbers], names=[*names.schema.names, "whole", "start", "windows"])
-
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key LONG, {RANGES}")
-
-
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """A table written to the shared folder and read back, and where it is."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path), path
-
-
-def _remove(spark: SparkSession, paths: list[str]) -> None:
-    """Delete tables of this job that nothing reads any more, and let Spark delete its shuffle files."""
-    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    release(spark)
-
-
 def _place() -> Column:
     return F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key", "start")
 
@@ -206,51 +47,58 @@ def _same() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
 
 
+def _later() -> Column:
+    """Whether a row is another place than the first occurrence it met."""
+    return ~(_same() & (F.col("start") == F.col("o_start")))
+
+
 FIRST = "at.doc_id AS o_id", "at.text_key AS o_key", "at.start AS o_start"
 
 
-def repeats(docs: DataFrame, text: str, min_words: int) -> DataFrame:
+def repeats(docs: DataFrame, text: str, min_words: int, places: DataFrame | None = None) -> DataFrame:
     """Per document with later repeated windows, ``_p_words``: word numbers (end exclusive), not merged.
 
     A place whose windows all stand in an earlier document, word for word, is settled as a whole. What is compared
-    window by window is one place of each kind, and places that repeat inside a document.
+    window by window is one place of each kind, and places that repeat inside a document, where the fingerprint has several kinds.
+    ``places`` are those of :func:`winnow.found` for these documents and ``min_words``; without them they are found here.
     """
-    marked = found_twice(fingerprints(docs, text, min_words))
-    found, places = _written(ranges(docs, text, min_words, marked), "passage-places")
-    first = found.groupBy("whole").agg(F.min(F.struct(_place().alias("at"), "windows")).alias("first"), F.count(F.lit(1)).alias("n"))
+    made = []
+    if places is None:
+        places, path = found(docs, text, words=min_words, rows=OUT_PLACES)
+        made.append(path)
+    here = places.where(~F.col("lines")).select("doc_id", "text_key", "whole", "start", "size", "windows")
+    first = here.groupBy("whole").agg(F.min(F.struct(_place().alias("at"), "windows")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = first.where("n > 1 OR first.windows IS NOT NULL")
     # Written, so that a passage that very many documents hold can be split in the join.
-    first, firsts = _written(first.selectExpr("whole", "first.at AS at", "first.windows AS windows", "n"), "passage-firsts")
+    first, path = written(first.selectExpr("whole", "first.at AS at", "first.windows AS windows", "n"), "passage-firsts")
+    made.append(path)
     release(docs.sparkSession)
-    again = first.where("n > 1").selectExpr("whole", *FIRST)
-    size = F.size("windows").cast("int") - 1 + min_words
-    later = found.withColumn("stop", F.col("start") + size).drop("windows").join(again, "whole")
-    settled = later.where(~_same()).select("doc_id", "text_key", F.col("start").alias("begin"), "stop")
-    inside = later.where(_same() & (F.col("start") != F.col("o_start"))).join(first.select("whole", "windows"), "whole")
-    alone = first.selectExpr("at.doc_id AS doc_id", "at.text_key AS text_key", "at.start AS start", "windows")
+    again = first.where("n > 1").selectExpr("whole", *FIRST, "windows IS NULL AS alike")
+    stop = F.col("start") + F.col("size") - 1 + min_words
+    later = here.withColumn("stop", stop).drop("windows", "size").join(again, "whole").where(_later())
+    begin = F.when(_same(), F.greatest("start", F.col("o_start") + min_words)).otherwise(F.col("start"))
+    # Written, since both what is settled and what is compared further come from this join.
+    later = later.select("doc_id", "text_key", "whole", "start", begin.alias("begin"), "stop", (~_same() | F.col("alike")).alias("settled"))
+    later, path = written(later, "passage-later")
+    made.append(path)
+    settled = later.where("settled").select("doc_id", "text_key", "begin", "stop")
+    inside = later.where(~F.col("settled")).join(first.select("whole", "windows"), "whole")
+    alone = first.where("windows IS NOT NULL").selectExpr("at.doc_id AS doc_id", "at.text_key AS text_key", "at.start AS start", "windows")
     each = alone.unionByName(inside.select("doc_id", "text_key", "start", "windows"))
     each = each.select("doc_id", "text_key", F.col("start").alias("_at"), F.posexplode("windows").alias("_i", "content"))
     each = each.select("doc_id", "text_key", "content", (F.col("_at") + F.col("_i")).alias("start"))
     least = each.groupBy("content").agg(F.min(_place()).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    least, windows = _written(least.selectExpr("content", *FIRST), "passage-windows")
-    met = each.join(least, "content").where(~(_same() & (F.col("start") == F.col("o_start"))))
-    begin = F.when(_same(), F.greatest("start", F.col("o_start") + min_words)).otherwise(F.col("start"))
+    least, path = written(least.selectExpr("content", *FIRST), "passage-windows")
+    made.append(path)
+    met = each.join(least, "content").where(_later())
     single = met.select("doc_id", "text_key", begin.alias("begin"), (F.col("start") + min_words).alias("stop"))
     spans = F.collect_list(F.struct(F.col("begin").alias("first"), "stop"))
-    out, _ = _written(settled.unionByName(single).groupBy("doc_id", "text_key").agg(spans.alias("_p_words")), "passage-words")
+    out, _ = written(settled.unionByName(single).groupBy("doc_id", "text_key").agg(spans.alias("_p_words")), "passage-words")
     # The result is written, so what it was made from can go before the texts are shuffled.
-    _remove(docs.sparkSession, [places, firsts, windows])
+    remove(docs.sparkSession, made)
     return out
 
 
-def merged(first: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
-    """Spans that overlap or adjoin as one."""
-    order = np.argsort(first, kind="stable")
-    first, stop = first[order], np.maximum.accumulate(stop[order])
-    new = np.concatenate([[True], first[1:] > stop[:-1]])
-    ends = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(first) - 1]])
-    return list(zip(first[new].tolist(), stop[ends].tolist()))
-
-
 def cut(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with ``passages`` (removed, in code points, end exclusive), ``n_passage_words`` and
     ``cut_text``."""
@@ -261,6 +109,45 @@ def cut(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> Data
     return applied(joined, text)
 
 
+def merged(text: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each text that overlap or adjoin as one, empty ones left out: text, first, stop."""
+    some = first < stop
+    text, first, stop = text[some], first[some], stop[some]
+    if not len(text):
+        return text, first, stop
+    order = np.lexsort((first, text))
+    text, first, stop = text[order], first[order], stop[order]
+    # Every text's numbers lie beyond those of the one before, with a gap.
+    wide = text * (int(stop.max()) + 2)
+    upto = np.maximum.accumulate(wide + stop)
+    new = np.flatnonzero(np.append(True, (wide + first)[1:] > upto[:-1]))
+    return text[new], first[new], (upto - wide)[np.append(new[1:], len(text)) - 1]
+
+
+def _cut(bodies: list[bytes | None], own: pa.ListArray) -> tuple[pa.Array, np.ndarray, list[bytes | None]]:
+    """Passages in code points, their words, and what stays, of several texts with their spans of words."""
+    words = words_of([b or b"" for b in bodies])
+    text = np.repeat(np.arange(len(bodies)), pc.list_value_length(own).fill_null(0).to_numpy())
+    pairs = own.flatten()
+    numbers = [pairs.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("first", "stop")]
+    text, first, stop = merged(text, *numbers)
+    begin, end = words.starts[words.first[text] + first], words.ends[words.first[text] + stop - 1]
+    # Bytes that begin a character, counted up to each place.
+    chars = np.append(0, np.cumsum((words.data & 0xC0) != 0x80, dtype=np.int32))
+    base = chars[words.begin][text]
+    edges = pa.array(np.append(0, np.cumsum(np.bincount(text, minlength=len(bodies)))).astype(np.int32))
+    ends = [pa.array((chars[x] - base).astype(np.int32)) for x in (begin, end)]
+    spans = pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays(ends, fields=list(SPANS.value_type)))
+    kept, at = list(bodies), edges.to_pylist()
+    begin, end = (begin - words.begin[text]).tolist(), (end - words.begin[text]).tolist()
+    for i, body in enumerate(bodies):
+        if at[i] < at[i + 1]:
+            here = slice(at[i], at[i + 1])
+            kept[i] = b"".join(body[a:b] for a, b in zip([0, *end[here]], [*begin[here], len(body)]))
+    sizes = np.bincount(text, weights=stop - first, minlength=len(bodies)).astype(np.int64)
+    return spans, sizes, kept
+
+
 def applied(joined: DataFrame, text: str = "text") -> DataFrame:
     """Documents with their ``_p_words`` (null: none) get the columns of :func:`cut`."""
     rows = joined.drop("_p_words")
@@ -268,26 +155,14 @@ def applied(joined: DataFrame, text: str = "text") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, sizes, kept = [], [], []
-            for body, own in zip(batch.column(text), batch.column("_p_words")):
-                if not own.is_valid:
-                    spans.append([])
-                    sizes.append(0)
-                    kept.append(body.as_py())
-                    continue
-                body, pairs = body.as_py(), own.values
-                ranges = merged(*[pairs.field(n).to_numpy(zero_copy_only=False) for n in ("first", "stop")])
-                places = [m.span() for m in _WORD.finditer(body)]
-                cuts = [(places[a][0], places[b - 1][1]) for a, b in ranges if a < b]
-                edges = [0, *[x for c in cuts for x in c], len(body)]
-                spans.append([{"start": a, "end": b} for a, b in cuts])
-                sizes.append(sum(b - a for a, b in ranges))
-                kept.append("".join(body[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            part = batch.select(names)
-            new = [pa.array(spans, SPANS), pa.array(sizes, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, *new], names=[*part.schema.names, "passages", "n_passage_words", "cut_text"]
-            )
+            for begin, end in pieces(batch, text, STEP_BYTES):
+                part = batch.slice(begin, end - begin)
+                spans, sizes, kept = _cut(part.column(text).cast(pa.binary()).to_pylist(), part.column("_p_words"))
+                part = part.select(names)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, spans, pa.array(sizes), pa.array(kept, pa.string())],
+                    names=[*part.schema.names, "passages", "n_passage_words", "cut_text"],
+                )
 
     fields = "passages ARRAY<STRUCT<start: INT, end: INT>>, n_passage_words LONG, cut_text STRING"
     return joined.mapInArrow(work, with_fields(rows, fields))

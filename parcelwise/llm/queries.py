@@ -20,6 +20,7 @@ from parcelwise.llm import (
     simhash,
     termsearch,
     tokencounts,
+    winnow,
 )
 from parcelwise.llm.common import read
 from parcelwise.session import cut_lineage
@@ -119,8 +120,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later repeated runs in all documents: of whole lines, and of words wherever they begin."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    words = passages.repeats(docs, "text", passages.MIN_WORDS)
-    found = linededup.deduplicated(docs, beside=words).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+    # Both kinds of places are found in the same two readings of the texts.
+    places, _ = winnow.found(docs, words=passages.MIN_WORDS, lines=linededup.MIN_WORDS)
+    words = passages.repeats(docs, "text", passages.MIN_WORDS, places)
+    found = linededup.deduplicated(docs, beside=words, places=places).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
     found = passages.applied(found)
     spans = F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string")))
     inside = F.transform("passages", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
