@@ -23,8 +23,8 @@ from xxhash import xxh3_64_intdigest
 from parcelwise.llm.common import BLANKS, pieces, release, share, shared, text_key, texts
 from parcelwise.session import new_path
 
-# Bytes of texts handled at once: the arrays beside them take some twenty times that.
-STEP_BYTES = 1 << 20
+# Bytes of texts handled at once: the arrays beside them take some twenty times that, and a worker keeps what it once took.
+STEP_BYTES = 1 << 18
 # Rows with lists handed on at once.
 OUT_ROWS = 1 << 13
 # Words up to this size are hashed by numpy, the others one by one.
@@ -301,7 +301,7 @@ def _context(found: Lines, start: np.ndarray, size: np.ndarray, step: int) -> pa
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(pairs, fields=list(CONTEXT.value_type)))
 
 
-def _word_rows(own: Words, found: Places, min_words: int, bits: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, list]]:
+def _word_rows(own: Words, found: Places, min_words: int, bits: dict[int, np.ndarray], rows: int) -> Iterator[tuple[np.ndarray, list]]:
     good = np.flatnonzero(_passed(bits[WORDS], found.fingerprint))
     windows = rolling(found.total, min_words).view(np.int64)
     for i in range(0, len(good), rows):
@@ -336,10 +336,12 @@ def places(docs: DataFrame, text: str, words: int | None, lines: int | None, mar
     """What the filters let through. Of words one row per chosen place: its first window, how many choose it (``size``),
     a hash of all their words (``whole``), and where places with the fingerprint differ the hashes of the windows. Of lines one row
     per window: its lines from ``start`` to ``size`` (end exclusive) and their numbers, a hash of them, and its contexts."""
-    named, sent = _named(docs, text), share(docs, marked)
+    kinds = [*([] if words is None else [WORDS, MIXED]), *([] if lines is None else [LINES])]
+    # One by one, and only those in use: a worker holds what was sent beside what it reads from that.
+    named, sent = _named(docs, text), {kind: share(docs, marked[kind]) for kind in kinds}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared(sent)
+        bits = {kind: shared(filter_) for kind, filter_ in sent.items()}
         for batch in batches:
             names = batch.select(["doc_id", "text_key"])
             for begin, end in pieces(batch, "text", STEP_BYTES):
