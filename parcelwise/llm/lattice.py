@@ -4,7 +4,8 @@ The vocabulary's scores are ranks, so a piece of rank r starts with a weight of
 counts over the training words (forward and backward sums over the lattice of every word) turns them into
 probabilities of this corpus, the first weights staying as a prior. A document is its words, each after a blank mark, and an end.
 Pieces never cross a blank, so its marginal probability is the product over its words, and the forward recursion
-runs once per distinct word, in log space. A character without a piece is spelled in byte pieces.
+runs once per distinct word: over many words at once by numpy, in plain numbers; words that are long or less probable than
+those can hold go one by one, in log space. A character without a piece is spelled in byte pieces.
 
 The words are counted over the whole corpus. Documents then meet the words' values in two ways: the
 most frequent words (at most ``FREQUENT``, none longer than ``FREQUENT_BYTES``) are sent to all tasks, the rest is joined on the word.
@@ -37,6 +38,12 @@ FREQUENT_BYTES = 48
 COUNTED = 300_000
 MARK = "▁"
 END = ""
+# Words of more bytes than this go one by one: a step over many words is taken for every position of the longest.
+LONG = 128
+# Below this a probability is no longer summed in plain numbers: what falls under the least double is then far below rounding.
+LEAST = 1e-250
+# Bytes of words taken at once.
+AT_ONCE = 128 << 10
 
 
 def default_path() -> str:
@@ -145,6 +152,165 @@ class Lattice:
                 beyond[start] = old + log1p(exp(new - old))
 
 
+class Lattices(Lattice):
+    """The same sums over many words at once. A word holds no line feed.
+
+    The prefixes of pieces are a trie in two arrays: the child of a node by a character's code is ``base[node] + code``, if its
+    ``parent`` is that node. Code 0 is any character that no piece has.
+    """
+
+    def __init__(self, logs: dict[str, float]):
+        super().__init__(logs)
+        self.names = list(logs)
+        number = {p: i for i, p in enumerate(self.names)}
+        self.bytes_at = [number[chr(0xE000 + b)] for b in range(256)]
+        often = Counter(p[-1] for p in self.steps)
+        code = {c: i for i, (c, _) in enumerate(often.most_common(), 1)}
+        self.codes = np.zeros(0x110000, dtype=np.int32)
+        self.codes[[ord(c) for c in code]] = list(code.values())
+        base, size = self._places(code)
+        self.base = np.zeros(size, dtype=np.int32)
+        self.parent = np.full(size, -1, dtype=np.int32)
+        # The number of the piece that a node is, or -1.
+        self.number = np.full(size, -1, dtype=np.int32)
+        node = {"": 0} | {p: base[p[:-1]] + code[p[-1]] for p in self.steps}
+        for prefix, place in base.items():
+            self.base[node[prefix]] = place
+        for prefix, log in self.steps.items():
+            self.parent[node[prefix]] = node[prefix[:-1]]
+            if log is not None:
+                self.number[node[prefix]] = number[prefix]
+        self.odds = np.exp(np.array([logs[p] for p in self.names]))
+
+    def _places(self, code: dict[str, int]) -> tuple[dict[str, int], int]:
+        """For every prefix that goes on, a base at which its children's places are free; the number of places."""
+        below: dict[str, list[int]] = {"": []}
+        for prefix in self.steps:
+            below.setdefault(prefix[:-1], []).append(code[prefix[-1]])
+        first = len(code) + 1  # no base is below 0, and no node has a place that a base of 0 reaches
+        taken = np.zeros(len(self.steps) + 2 * (first + 1024), dtype=bool)
+        base, low = {}, first
+        for prefix, codes in sorted(below.items(), key=lambda x: -len(x[1])):
+            if len(codes) < 2:
+                break
+            own = np.array(codes)
+            own_first, at = int(own.min()), low
+            while True:
+                if at + 1024 + first > len(taken):
+                    taken = np.concatenate([taken, np.zeros(len(taken), dtype=bool)])
+                free = np.flatnonzero(~taken[at : at + 1024]) + (at - own_first)
+                fits = np.flatnonzero(~taken[free[:, None] + own].any(axis=1))
+                if len(fits):
+                    break
+                at += 1024
+            base[prefix] = int(free[fits[0]])
+            taken[base[prefix] + own] = True
+            # Where few sets fit, search no more; single children fill it.
+            if at > low + 2048:
+                low += 1024
+        single = [(prefix, codes[0]) for prefix, codes in below.items() if len(codes) == 1]
+        taken = np.concatenate([taken, np.zeros(len(single), dtype=bool)])
+        for (prefix, c), place in zip(single, np.flatnonzero(~taken[first:])[: len(single)].tolist()):
+            base[prefix] = first + place - c
+        return base, max(base.values(), default=0) + first + 1
+
+    def _forward(self, words: list[bytes]) -> tuple:
+        """The probability of reaching each position, and the arcs by the place of their start in its word."""
+        between = "\n" + MARK
+        text = MARK + between.encode().join(words).decode(errors="replace") + "\n"
+        chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        codes = self.codes[chars]
+        ends = np.flatnonzero(chars == 10)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        place = np.arange(len(chars)) - np.repeat(begins, ends - begins + 1)
+
+        start = np.flatnonzero(chars != 10)
+        node = self.base[0] + codes[start]
+        known = self.parent[node] == 0
+        number = np.where(known, self.number[node], -1)
+        odds = self.odds[number]
+        # No piece of one character: an arc in byte pieces.
+        other = np.flatnonzero(number < 0)
+        spelled, which = np.unique(chars[start[other]], return_inverse=True)
+        odds[other] = np.exp([self.spelled(chr(c)) for c in spelled])[which]
+        starts, stops, numbers, chances = [start], [start + 1], [number], [odds]
+        start, node, stop = start[known], node[known], start[known] + 1
+        while len(start):
+            child = self.base[node] + codes[stop]
+            on = np.flatnonzero(self.parent[child] == node)
+            start, node, stop = start[on], child[on], stop[on] + 1
+            number = self.number[node]
+            whole = np.flatnonzero(number >= 0)
+            starts.append(start[whole])
+            stops.append(stop[whole])
+            numbers.append(number[whole])
+            chances.append(self.odds[number[whole]])
+        start = np.concatenate(starts)
+        order = np.argsort(place[start].astype(np.uint16), kind="stable")
+        start, stop, odds = start[order], np.concatenate(stops)[order], np.concatenate(chances)[order]
+        number = np.concatenate(numbers)[order]
+
+        reached = np.zeros(len(chars))
+        reached[begins] = 1.0
+        cuts = np.cumsum(np.bincount(place[start])).tolist()
+        # Arcs of one place have different stops: a word has one start there.
+        for low, high in zip([0, *cuts], cuts):
+            reached[stop[low:high]] += reached[start[low:high]] * odds[low:high]
+        return reached, chars, place, ends, start, stop, odds, number
+
+    def _many(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of words to take at once, and of those to take one by one with them."""
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        short = np.where(size > LONG, 0, size + 4)
+        block = np.cumsum(short) // AT_ONCE
+        for some in np.split(np.arange(len(words)), np.flatnonzero(np.diff(block)) + 1):
+            yield some[size[some] <= LONG], some[size[some] > LONG]
+
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        """:meth:`log_probability` of every word."""
+        out = np.empty(len(words))
+        for some, single in self._many(words):
+            if len(some):
+                reached, _, _, ends, *_ = self._forward([words[i] for i in some])
+                found = reached[ends]
+                least = found < LEAST
+                out[some] = np.log(np.where(least, 1.0, found))
+                single = np.concatenate([single, some[least]])
+            for i in single.tolist():
+                out[i] = self.log_probability(words[i].decode(errors="replace"))
+        return out
+
+    def all_expected(self, words: list[bytes], times: np.ndarray, into: np.ndarray) -> None:
+        """:meth:`expected` of every word; ``into`` has the uses in the order of ``names``."""
+        alone: dict[str, float] = {}
+        for some, single in self._many(words):
+            if len(some):
+                reached, chars, place, ends, start, stop, odds, number = self._forward([words[i] for i in some])
+                found = reached[ends]
+                least = found < LEAST
+                # From here to the end, by the occurrences per probability of the whole word.
+                beyond = np.zeros(len(chars))
+                beyond[ends] = np.where(least, 0.0, times[some] / np.where(least, 1.0, found))
+                late = place[stop]
+                order = np.argsort(late.astype(np.uint16), kind="stable")
+                first, last, chance = start[order], stop[order], odds[order]
+                cuts = np.cumsum(np.bincount(late)).tolist()
+                for low, high in zip(cuts[-2::-1], cuts[:0:-1]):
+                    beyond[first[low:high]] += chance[low:high] * beyond[last[low:high]]
+                used = reached[start] * odds * beyond[stop]
+                pieces_at = number >= 0
+                into += np.bincount(number[pieces_at], used[pieces_at], minlength=len(into))
+                spelled, which = np.unique(chars[start[~pieces_at]], return_inverse=True)
+                for c, n in zip(spelled.tolist(), np.bincount(which, used[~pieces_at]).tolist()):
+                    for b in chr(c).encode("utf-8", "replace"):
+                        into[self.bytes_at[b]] += n
+                single = np.concatenate([single, some[least]])
+            for i in single.tolist():
+                self.expected(words[i].decode(errors="replace"), times[i], alone)
+        if alone:
+            into += np.array([alone.get(p, 0.0) for p in self.names])
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """All distinct words with their number in the training documents (0 if only others have them); the empty word
     is the end. ``docs`` has ``text`` and the flag ``held_out``."""
@@ -176,19 +342,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def fitted(words: DataFrame, start: dict[str, float]) -> dict[str, float]:
     """Log probabilities of the pieces after one round of expected counts over the training words."""
-    sent = share(words, start)
+    sent = share(words, Lattices(start))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # many small tuples, no cycles
-        lattice, total = Lattice(shared(sent)), {}
+        lattice = shared(sent)
+        total = np.zeros(len(lattice.names))
         for batch in batches:
-            for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist()):
-                if word:
-                    lattice.expected(word.decode(errors="replace"), c, total)
-                else:
-                    total[END] = total.get(END, 0.0) + c
+            own, times = batch.column("word").to_pylist(), batch.column("c").to_numpy()
+            empty = np.fromiter((not w for w in own), dtype=bool, count=len(own))
+            total[lattice.names.index(END)] += times[empty].sum()
+            lattice.all_expected([w for w in own if w], times[~empty], total)
+        used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.float64())], names=["piece", "uses"]
+            [pa.array([lattice.names[i] for i in used], pa.string()), pa.array(total[used])], names=["piece", "uses"]
         )
 
     # One row per piece of the vocabulary at most.
@@ -201,20 +368,19 @@ def fitted(words: DataFrame, start: dict[str, float]) -> dict[str, float]:
 
 def valued(words: DataFrame, logs: dict[str, float], tokens: int, distinct: int) -> DataFrame:
     """Words with ``base`` and ``model``: their log10 probabilities by smoothed counts and by the lattice."""
-    sent = share(words, logs)
+    sent = share(words, Lattices(logs))
     below = tokens + 0.1 * (distinct + 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        lattice = Lattice(shared(sent))
+        lattice = shared(sent)
         for batch in batches:
-            found = [
-                lattice.log_probability(w.decode(errors="replace")) if w else lattice.logs[END]
-                for w in batch.column("word").to_pylist()
-            ]
+            own = batch.column("word").to_pylist()
+            empty = np.fromiter((not w for w in own), dtype=bool, count=len(own))
+            found = np.where(empty, lattice.logs[END], lattice.log_probabilities(own))
             base = np.log10((batch.column("c").to_numpy() + 0.1) / below)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(base), pa.array(np.array(found) / math.log(10))],
+                [*batch.columns, pa.array(base), pa.array(found / math.log(10))],
                 names=["word", "c", "base", "model"],
             )
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from parcelwise.llm import lattice
@@ -65,6 +66,67 @@ def test_very_long_words_do_not_underflow(logs):
     assert math.isfinite(model.log_probability("the" * 20_000))
 
 
+# Pieces within pieces, no piece at all, no UTF-8, the mark inside a word, long ones, and less probable than a double can hold.
+WORDS = [
+    b"the", b"there", "thé".encode(), b"x", b"etherthe", b"hhhh", b"the\xff\xe2", "\u2581the\u2581".encode(), "\ue041\U0001f600the".encode(),
+    b"the" * 40, b"the" * 50, b"h" * lattice.LONG, b"h" * (lattice.LONG + 1), "漢字".encode() * 21, "漢字\U0010ffff".encode() * 12, b"t",
+]
+
+
+def check_many(logs, words):
+    one, many = lattice.Lattice(logs), lattice.Lattices(logs)
+    want = [one.log_probability(w.decode(errors="replace")) for w in words]
+    assert many.log_probabilities(words) == pytest.approx(want, rel=1e-12)
+    uses, got = {}, np.zeros(len(logs))
+    for n, w in enumerate(words, 1):
+        one.expected(w.decode(errors="replace"), n, uses)
+    many.all_expected(words, np.arange(1, len(words) + 1), got)
+    assert dict(zip(logs, got.tolist())) == pytest.approx({p: uses.get(p, 0.0) for p in logs}, rel=1e-9, abs=1e-60)
+    return want
+
+
+@pytest.mark.parametrize("at_once", [1, 40, lattice.AT_ONCE])
+def test_many_words_at_once_get_the_sums_of_each(logs, monkeypatch, at_once):
+    monkeypatch.setattr(lattice, "AT_ONCE", at_once)
+    assert min(check_many(logs, WORDS * 3)) < math.log(lattice.LEAST)
+
+
+def test_many_words_at_once_with_the_installed_vocabulary():
+    check_many(lattice.start_weights(), WORDS + [b"delivery", b"tokenizer's", "façade".encode(), b"42"])
+
+
+def test_many_words_at_once_without_words_or_pieces(logs):
+    many = lattice.Lattices(logs)
+    assert len(many.log_probabilities([])) == 0
+    many.all_expected([], np.zeros(0), np.zeros(len(logs)))
+    check_many({p: x for p, x in logs.items() if not p or p >= "\ue000"}, WORDS)
+    check_many({p: x for p, x in logs.items() if not p or p >= "\ue000" or p == "the"}, WORDS)
+
+
+def test_only_long_and_improbable_words_go_one_by_one(logs, monkeypatch):
+    many, alone = lattice.Lattices(logs), []
+    forward = lattice.Lattice.forward
+    monkeypatch.setattr(lattice.Lattice, "forward", lambda self, text: alone.append(text) or forward(self, text))
+    ordinary = [w for w in WORDS if len(w) <= 60]
+    many.log_probabilities(ordinary)
+    many.all_expected(ordinary, np.ones(len(ordinary)), np.zeros(len(logs)))
+    assert not alone
+    many.log_probabilities([*ordinary, b"h" * (lattice.LONG + 1)])
+    assert alone == [lattice.MARK + "h" * (lattice.LONG + 1)]
+
+
+def test_fitted_weights_are_those_of_the_words_one_by_one(spark):
+    df = spark.createDataFrame([(" ".join(w.decode(errors="replace") for w in WORDS), False), ("the zebra", True)], "text string, held_out boolean")
+    words = lattice.word_counts(df)
+    start = lattice.start_weights()
+    one, uses = lattice.Lattice(start), {lattice.END: 1.0}
+    for r in words.where("c > 0 AND octet_length(word) > 0").collect():
+        one.expected(bytes(r["word"]).decode(errors="replace"), r["c"], uses)
+    total = sum(uses.values()) + len(start)
+    want = {p: math.log((uses.get(p, 0.0) + len(start) * math.exp(x)) / total) for p, x in start.items()}
+    assert lattice.fitted(words, start) == pytest.approx(want, rel=1e-9)
+
+
 def tokens(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return [*re.findall("[^\x20\x09-\x0d]+", text), ""]
