@@ -84,6 +84,21 @@ def test_a_bad_table_stops_training(spark, small, monkeypatch):
         queries.QUERIES["model_compare"](spark, small)
 
 
+def test_the_comparison_fits_every_candidate(spark, small, rows, monkeypatch):
+    """All four are fitted and scored, at few rounds here; the set numbers of rounds are those of the candidates."""
+    from parcelwise.plans import queries
+
+    set_to = {n: (s.getMaxIter(), s.getStepSize(), s.getMaxDepth()) for n in ("boosted_default", "boosted_bigger") for s in [models.CANDIDATES[n](rows)]}
+    assert set_to == {"boosted_default": (100, 0.1, 5), "boosted_bigger": (300, 0.05, 6)}
+    few = {"boosted_default": models.boosted_stage(2, 0.1, 2), "boosted_bigger": models.boosted_stage(6, 0.1, 6)}
+    monkeypatch.setattr(models, "CANDIDATES", {**models.CANDIDATES, **few})
+    monkeypatch.setattr(queries, "_model_rows", lambda *_: rows)
+    got = {r["model"]: r for r in queries.QUERIES["model_compare"](spark, small).collect()}
+    assert set(got) == {"median", "linear_regression", "boosted_default", "boosted_bigger"}
+    assert all(r[f"{part}_{c}"] is not None for r in got.values() for part in ("val", "test") for c in ("mae", "rmse"))
+    assert [m for m, r in got.items() if r["is_best"]] == ["boosted_bigger"]
+
+
 def test_an_empty_training_table_is_an_error(spark):
     empty = spark.createDataFrame([], "delivery_days double")
     with pytest.raises(ValueError, match="no row with a target"):
